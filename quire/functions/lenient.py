@@ -38,15 +38,15 @@ def trim_ws(c) -> Column:
     return F.trim(_col(c), F.lit(UNICODE_WHITESPACE))
 
 
-def parse_record(json_text) -> Column:
-    """Strict parse of a record that must be exactly one JSON object.
+def wrap_record(json_text) -> Column:
+    """``[<record>, "<sentinel>"]`` parsed once; see ``record_of``."""
+    return F.try_parse_json(F.concat(F.lit("["), _col(json_text), F.lit(f',"{_SENTINEL}"]')))
 
-    ``try_parse_json`` tolerates trailing text, so the record is wrapped as
-    ``[<record>, "<sentinel>"]``: it is valid only if that array has exactly two
-    elements, the second is the sentinel and the first is an object.  Returns the
-    object as a VARIANT, or NULL for a malformed record.
-    """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), _col(json_text), F.lit(f',"{_SENTINEL}"]')))
+
+def record_of(wrapped) -> Column:
+    """The record object from a wrapped parse, or NULL when the text was not exactly
+    one JSON object (trailing text, several values, a scalar or an array)."""
+    wrapped = _col(wrapped)
     first = F.try_variant_get(wrapped, "$[0]", "variant")
     ok = (
         (F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_SENTINEL))
@@ -56,9 +56,24 @@ def parse_record(json_text) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), first)
 
 
+def parse_record(json_text) -> Column:
+    """Strict parse of a record that must be exactly one JSON object.
+
+    ``try_parse_json`` tolerates trailing text, so the record is wrapped as
+    ``[<record>, "<sentinel>"]``: it is valid only if that array has exactly two
+    elements, the second is the sentinel and the first is an object.  Returns the
+    object as a VARIANT, or NULL for a malformed record.
+
+    As a single expression; ``stage.parse_lines`` splits the parse and the checks
+    into two projections so the text is parsed once per line.
+    """
+    return record_of(wrap_record(json_text))
+
+
 def field(record, name: str) -> Column:
-    """A top-level field of a parsed record as a VARIANT (NULL when absent)."""
-    return F.try_variant_get(_col(record), f"$['{name}']", "variant")
+    """A field of a parsed record as a VARIANT (NULL when absent); ``a.b`` is nested."""
+    path = "$" + "".join(f"['{part}']" for part in name.split("."))
+    return F.try_variant_get(_col(record), path, "variant")
 
 
 def vtype(v) -> Column:
