@@ -167,7 +167,13 @@ def lineitem_editions(lineitem: DataFrame) -> DataFrame:
         ("ocaid", jv(F.concat(s("ia"), F.col("l_orderkey").cast("string")))),
     )
     json = F.when(_pct("l_tax") == 8, F.concat(json, s(" trailing"))).otherwise(json)
-    return dump_rows(lineitem, "/type/edition", key_of("/books/OL", edition_key(), "M"), json, edition_line_no())
+    return dump_rows(lineitem, "/type/edition", key_of("/books/OL", edition_key(), "M"), json, edition_line_no(),
+                     edition_revision())
+
+
+def edition_revision() -> Column:
+    """Line items repeat (order, line number); each repeat is a distinct revision."""
+    return F.col("l_partkey") * 10000 + F.col("l_suppkey")
 
 
 def edition_line_no() -> Column:
