@@ -83,11 +83,15 @@ def customer_authors(customer: DataFrame) -> DataFrame:
                      F.col("c_custkey"))
 
 
-def supplier_authors(supplier: DataFrame) -> DataFrame:
+def supplier_authors(supplier: DataFrame, renamed: str | None = None) -> DataFrame:
     """Authors played by suppliers; every fifth nation shares one name (a hot slug).
 
     Suppliers of nation 0 appear twice: revision 2 carries a changed name and wins.
+    With ``renamed``, a later dump: one line per supplier named ``renamed + s_name``.
     """
+    if renamed is not None:
+        return dump_rows(supplier, "/type/author", key_of("/authors/OL", F.col("s_suppkey"), "A"),
+                         jobj(("name", jv(F.concat(F.lit(renamed), F.col("s_name"))))), F.col("s_suppkey"), F.lit(5))
     hot = (F.col("s_nationkey") % 5) == 0
     name = F.when(hot, s("Anonymous")).otherwise(F.col("s_name"))
     base = supplier.select("s_suppkey", name.alias("name"), F.lit(1).alias("rev"), F.lit(0).alias("dup"))
@@ -100,6 +104,16 @@ def supplier_authors(supplier: DataFrame) -> DataFrame:
 
 
 # -- works -----------------------------------------------------------------------
+def part_works_renamed(part: DataFrame) -> DataFrame:
+    """A later works dump: every part titled ``Renamed <p_name>``, authored by
+    suppliers ``p_partkey % 97`` and ``p_size + 1``."""
+    authors = jarr(jobj(("author", jobj(("key", jv(key_of("/authors/OL", F.col("p_partkey") % 97, "A")))))),
+                   jobj(("author", jobj(("key", jv(key_of("/authors/OL", F.col("p_size") + 1, "A")))))))
+    json = jobj(("title", jv(F.concat(F.lit("Renamed "), F.col("p_name")))), ("authors", authors))
+    return dump_rows(part, "/type/work", key_of("/works/OL", F.col("p_partkey"), "W"), json, F.col("p_partkey"),
+                     F.lit(5))
+
+
 def part_works(part: DataFrame) -> DataFrame:
     """Works played by parts; shape class ``p_partkey % 6`` (class 5 untitled,
     class 4 a title long enough to be clamped).  Authors are suppliers
