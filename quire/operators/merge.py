@@ -40,7 +40,8 @@ def new_rows(staged: DataFrame, live: DataFrame, key: str = KEY, admit: DataFram
     """B1 (+ B2/B3): staged rows whose key is not live, optionally only admitted keys."""
     out = staged.join(live.where(F.col(key).isNotNull()).select(key), key, "left_anti")
     if admit is not None:
-        out = out.join(admit.select(F.col(admit.columns[0]).alias(key)), key, "left_semi")
+        # Distinct first: a popular key collapses map-side instead of piling up in one task.
+        out = out.join(admit.select(F.col(admit.columns[0]).alias(key)).distinct(), key, "left_semi")
     return out
 
 
@@ -127,7 +128,8 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     """
     spark = staged.sparkSession
     scratch = scratch or scratch_dir(spark, f"insert-{table}")
-    new = materialize(latest_per_key(new_rows(staged, live, key, admit), key), f"{scratch}/new")
+    # Dedup before the anti/semi joins (same result): repeated keys collapse map-side.
+    new = materialize(new_rows(latest_per_key(staged, key), live, key, admit), f"{scratch}/new")
     narrow_cols = [key, "base_slug"] + ([fk.child_col] if fk is not None else [])
     slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live))
     if fk is not None:

@@ -1,0 +1,126 @@
+"""Operator scenarios (FIXTURES.md section 3) on small DataFrames."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from quire.operators import checks, merge as M, rank as R
+from quire.operators.schemas import LIVE, REFRESH_COLUMNS
+
+RUN = "2025-03-01 00:00:00"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def _staged_authors(spark, rows):
+    """rows: (key, name, bio, revision)"""
+    from quire.functions import text as T
+    df = spark.createDataFrame(rows, "open_library_id string, name string, bio string, revision long")
+    return df.select(F.lit(0).cast("bigint").alias("line_no"), "revision", F.lit("x").alias("last_modified"),
+                     F.lit(0).cast("bigint").alias("rec_hash"), "open_library_id",
+                     T.base_slug(F.col("name"), F.col("open_library_id")).alias("base_slug"), "name", "bio",
+                     *[F.lit(None).cast("string").alias(c) for c in ["birth_date", "death_date", "photo_id"]])
+
+
+def _live_authors(spark, rows):
+    """rows: (id, key, name, bio, slug); all columns nullable, as when read from Parquet."""
+    from pyspark.sql.types import StructField, StructType
+    schema = StructType([StructField(f.name, f.dataType, True) for f in LIVE["authors"].fields])
+    data = [(T0, T0, i, k, 0, n, b, "keep", None, None, None, s) for i, k, n, b, s in rows]
+    return spark.createDataFrame(data, schema)
+
+
+def _slugs(df):
+    return sorted((r["open_library_id"], r["slug"]) for r in df.collect())
+
+
+def test_slug_clash_in_batch(spark):
+    staged = _staged_authors(spark, [("OL1A", "John Smith", None, 1), ("OL10A", "John Smith", None, 1),
+                                     ("OL2A", "John Smith", None, 1)])
+    new = M.slugged_insert(staged, _live_authors(spark, []), REFRESH_COLUMNS["authors"], RUN, "authors")
+    assert _slugs(new) == [("OL10A", "john-smith"), ("OL1A", "john-smith--2"), ("OL2A", "john-smith--3")]
+    assert sorted(r["id"] for r in new.collect()) == [1, 2, 3]
+
+
+def test_slug_clash_with_live_and_lone_suffix(spark):
+    live = _live_authors(spark, [(1, "OL1A", "a", None, "john-smith"), (7, "OL2A", "b", None, "john-smith--4"),
+                                 (3, "OL3A", "c", None, "john-smith-jr"), (4, "OL4A", "d", None, "a--3")])
+    staged = _staged_authors(spark, [("OL8A", "John Smith", None, 1), ("OL9A", "John Smith", None, 1),
+                                     ("OL5A", "A", None, 1)])
+    new = M.slugged_insert(staged, live, REFRESH_COLUMNS["authors"], RUN, "authors")
+    assert _slugs(new) == [("OL5A", "a--4"), ("OL8A", "john-smith--5"), ("OL9A", "john-smith--6")]
+    assert sorted(r["id"] for r in new.collect()) == [8, 9, 10]
+
+
+def test_dedup_pins_highest_revision(spark):
+    staged = _staged_authors(spark, [("OL1A", "Old", None, 1), ("OL1A", "New", None, 3), ("OL1A", "Mid", None, 2)])
+    out = M.latest_per_key(staged)
+    assert [r["name"] for r in out.collect()] == ["New"]
+
+
+def test_refresh_null_overwrites_and_null_key(spark):
+    live = _live_authors(spark, [(1, "OL1A", "Ann", "b", "ann"), (2, None, "Elsewhere", "x", "elsewhere")])
+    staged = _staged_authors(spark, [("OL1A", "Ann B", None, 1), ("OL9A", "Nobody", None, 1)])
+    out = {r["id"]: r for r in M.refresh(live, staged, REFRESH_COLUMNS["authors"], RUN).collect()}
+    assert out[1]["name"] == "Ann B" and out[1]["bio"] is None and out[1]["slug"] == "ann"
+    assert out[1]["created_at"] == T0 and out[1]["updated_at"] == dt.datetime(2025, 3, 1)
+    assert out[1]["sort_name"] == "keep"
+    assert out[2]["name"] == "Elsewhere" and out[2]["updated_at"] == T0
+    assert len(out) == 2
+
+
+def test_rank_within_groups_hot_group(spark):
+    rnd = random.Random(7)
+    rows = [(f"k{i:05d}", "hot" if rnd.random() < 0.4 else f"g{rnd.randrange(50)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, g string")
+    got = {r["k"]: r["rn"] for r in R.rank_within_groups(df, "g", "k", num_partitions=16).collect()}
+    expect = {}
+    for g in {g for _, g in rows}:
+        for n, k in enumerate(sorted(k for k, gg in rows if gg == g), start=1):
+            expect[k] = n
+    assert got == expect
+
+
+def test_rank_with_start_offsets(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "x"), ("c", "y")], "k string, g string")
+    start = spark.createDataFrame([("x", 4)], "g string, taken long")
+    got = sorted(tuple(r) for r in R.rank_within_groups(df, "g", "k", start=start).collect())
+    assert got == [("a", "x", 5), ("b", "x", 6), ("c", "y", 1)]
+
+
+def test_assign_ids_dense_and_stable(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string")
+    a = {r["k"]: r["id"] for r in R.assign_ids(df, "k", 100).collect()}
+    b = {r["k"]: r["id"] for r in R.assign_ids(df.repartition(3), "k", 100).collect()}
+    assert sorted(a.values()) == list(range(101, 601))
+    assert a == b
+
+
+def test_authorship_upsert(spark):
+    ts = dt.datetime(2024, 1, 1)
+    live = spark.createDataFrame([(ts, ts, 10, 1, 1, 5), (ts, ts, 11, 7, 1, 0)], LIVE["authorships"])
+    links = spark.createDataFrame([(1, 1, 3), (1, 1, 1)], "work_id long, author_id long, position int")
+    links = links.groupBy("work_id", "author_id").agg(F.min("position").alias("position"))
+    out = {(r["work_id"], r["author_id"]): r for r in M.upsert_authorships(live, links, RUN).collect()}
+    assert out[(1, 1)]["position"] == 1 and out[(1, 1)]["id"] == 10 and out[(1, 1)]["created_at"] == ts
+    assert out[(1, 7)]["position"] == 0 and out[(1, 7)]["updated_at"] == ts
+
+
+def test_recount(spark):
+    works = spark.createDataFrame([(T0, T0, i, f"OL{i}W", c, "t", None, None, None, None, None, [], f"s{i}")
+                                   for i, c in [(1, 5), (2, 3), (3, 2)]], LIVE["works"])
+    eds = spark.createDataFrame([(1,), (1,), (3,), (3,)], "work_id long")
+    out = {r["id"]: (r["edition_count"], r["updated_at"]) for r in M.recount(works, eds, "work_id", "edition_count")
+           .collect()}
+    assert out == {1: (2, T0), 2: (0, T0), 3: (2, T0)}
+
+
+def test_integrity_violations(spark):
+    authors = _live_authors(spark, [(1, "OL1A", "a", None, "dup"), (2, "OL1A", "b", None, "dup"),
+                                    (3, None, "c", None, "c"), (4, None, None, None, "d")])
+    works = spark.createDataFrame([(T0, T0, 1, "OL1W", 0, "t", None, None, None, None, None, [], "w")], LIVE["works"])
+    eds = spark.createDataFrame([(T0, T0, 1, "OL1M", 9) + (None,) * 16 + ("e",)], LIVE["editions"])
+    got = {(r["table"], r["rule"]): r["n"] for r in checks.violations(
+        {"authors": authors, "works": works, "editions": eds}).collect() if r["n"]}
+    assert got == {("authors", "unique:open_library_id"): 1, ("authors", "unique:slug"): 1,
+                   ("authors", "not_null:name"): 1, ("editions", "foreign_key:work_id->works.id"): 1}
