@@ -18,6 +18,7 @@ from quire.functions.text import compose_slug, run_timestamp, split_slug
 from quire.operators.rank import assign_ids, max_id, rank_within_groups
 from quire.operators.schemas import COUNTERS, DEDUP_ORDER
 from quire.session import scratch_dir
+from quire.sources.tables import materialize  # noqa: F401  (re-exported for the import modes)
 
 KEY = "open_library_id"
 
@@ -77,13 +78,6 @@ class ForeignKey:
                 .select(F.col(self.parent_key).alias(self.child_col), F.col(self.parent_id).alias(self.out_col)))
 
 
-def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a DataFrame that feeds several consumers, and read it back."""
-    path = path or scratch_dir(df.sparkSession, "mat")
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def refresh(live: DataFrame, staged: DataFrame, columns: list[str], run_ts, key: str = KEY,
             fk: ForeignKey | None = None, observation: Observation | None = None) -> DataFrame:
     """M1-M3 (B8, M8): overwrite ``columns`` of live rows that have a staged row.

@@ -5,8 +5,8 @@ when one group holds a large share of all rows: rows are range-partitioned on
 ``(group, order)``, so a hot group is spread over many partitions; each partition is
 sorted locally and numbered by ``monotonically_increasing_id``; per (partition,
 group) counts -- at most one row per partition a group touches -- give each piece
-its offset.  The numbered rows are checkpointed before they are counted and joined,
-so both uses see the same numbers even if a task is retried.
+its offset.  The numbered rows are written to the shared scratch folder before they
+are counted and joined, so both uses see the same numbers even if a task is retried.
 
 ``assign_ids`` gives dense ids ``start + 1 ..`` to rows with a unique key: rows are
 hashed into buckets, numbered inside their bucket in key order, and shifted by the
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import checkpoint_root
+from quire.sources.tables import materialize
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -33,13 +33,11 @@ def rank_within_groups(df: DataFrame, group: str, order: str, out: str = "rn",
     ``(group, order)`` must be unique.  ``start`` is an optional ``(group, start)``
     DataFrame whose value is added to every number of that group (W1 + B7).
     """
-    checkpoint_root(df.sparkSession)
     p = _partitions(df, num_partitions)
-    numbered = (df.repartitionByRange(p, F.col(group), F.col(order))
-                .sortWithinPartitions(group, order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True)
-                .withColumn("_pid", F.shiftright("_mid", 33)))
+    numbered = materialize(df.repartitionByRange(p, F.col(group), F.col(order))
+                           .sortWithinPartitions(group, order)
+                           .withColumn("_mid", F.monotonically_increasing_id())
+                           .withColumn("_pid", F.shiftright("_mid", 33)))
     pieces = numbered.groupBy("_pid", group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

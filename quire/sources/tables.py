@@ -21,3 +21,12 @@ def spread(df: DataFrame, *cols: str, min_partitions: int | None = None) -> Data
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return spread(df, *([key] if key else []))
+
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a DataFrame that feeds several consumers (or must not be recomputed
+    differently on retry) to the shared scratch folder, and read it back."""
+    from quire.session import scratch_dir
+    path = path or scratch_dir(df.sparkSession, "mat")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
