@@ -149,3 +149,24 @@ def test_dev_subset(spark):
     run_import(spark, d, root, dev=True, run_ts=T1)
     store = TableStore(spark, root)
     assert _rows(store, "editions", ["open_library_id", "published_year"]) == [("OL3M", 1950), ("OL4M", year + 1)]
+
+
+def test_dev_cap_across_scan_partitions(spark):
+    """E6 with lines spread over several files: the first n in file order, exactly."""
+    from pyspark.sql import functions as F
+
+    from quire.operators import stage as S
+
+    d = _dir("multi")
+    for part in range(3):
+        os.makedirs(os.path.join(d, "dump"), exist_ok=True)
+        write_dump(os.path.join(d, "dump"), "editions",
+                   [edition(f"OL{part}{i:03d}M", title="t") for i in range(40)], name=f"part{part}")
+    rows = split_rows(read_dump_lines(spark, os.path.join(d, "dump"), 4))
+    parsed = S.parse_lines(rows)
+    ordered = sorted((r["line_no"], r["olid"]) for r in parsed.select("line_no", "olid").collect())
+    assert len({ln >> 33 for ln, _ in ordered}) == 3
+    for n in (10, 40, 55, 120, 500):
+        got = {r["olid"] for r in S.first_n_in_file_order(parsed.withColumn("revision", F.lit(1).cast("bigint")), n)
+               .select("olid").collect()}
+        assert got == {k for _, k in ordered[:n]}, n
