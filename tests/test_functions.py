@@ -2,7 +2,7 @@
 
 import re
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -112,3 +112,30 @@ def test_slugify_properties(spark, texts):
         assert re.fullmatch(r"([a-z0-9]+(-[a-z0-9]+)*)?", s)
         assert len(s) <= 100
         assert s2 == s
+
+
+_json_values = st.recursive(
+    st.none() | st.booleans() | st.integers(-2**40, 2**40) | st.floats(allow_nan=False, allow_infinity=False)
+    | st.text(max_size=12),
+    lambda kids: st.lists(kids, max_size=4) | st.dictionaries(st.sampled_from(["key", "author", "value", "x"]), kids,
+                                                             max_size=3),
+    max_leaves=12)
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=[HealthCheck.data_too_large, HealthCheck.too_slow])
+@given(st.lists(st.fixed_dictionaries({}, optional={
+    f: _json_values for f in ["title", "works", "languages", "identifiers", "covers", "isbn_13", "number_of_pages",
+                              "publish_date", "authors", "bio", "photos", "name"]}), min_size=40, max_size=40),
+       st.lists(st.text(max_size=30), min_size=10, max_size=10))
+def test_readers_never_raise(spark, records, junk):
+    """Any JSON value in any known field, and junk lines, classify without errors."""
+    import json
+
+    from quire.operators import stage as S
+    from quire.sources.dumps import split_rows
+
+    lines = [f"/type/x\t/x/OL{i}X\t1\t2024\t{json.dumps(r)}" for i, r in enumerate(records)] + junk
+    df = spark.createDataFrame([(i, ln) for i, ln in enumerate(lines)], "line_no long, line string")
+    parsed = S.parse_lines(split_rows(df))
+    for classify in (S.classify_editions, S.classify_works, S.classify_authors):
+        assert len(classify(parsed).collect()) == len(lines)

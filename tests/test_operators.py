@@ -124,3 +124,12 @@ def test_integrity_violations(spark):
         {"authors": authors, "works": works, "editions": eds}).collect() if r["n"]}
     assert got == {("authors", "unique:open_library_id"): 1, ("authors", "unique:slug"): 1,
                    ("authors", "not_null:name"): 1, ("editions", "foreign_key:work_id->works.id"): 1}
+
+
+def test_staged_base_slug_separator_rule(spark):
+    import pytest
+    ok = spark.createDataFrame([("a-b",), ("ol1a",)], "base_slug string")
+    bad = spark.createDataFrame([("a--b",)], "base_slug string")
+    checks.check_staged(ok, "authors")
+    with pytest.raises(checks.IntegrityError):
+        checks.check_staged(bad, "authors")
