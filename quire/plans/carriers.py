@@ -180,7 +180,7 @@ def lineitem_editions(lineitem: DataFrame) -> DataFrame:
         ("edition_name", F.when(ln == 1, jv(s("1st")))),
         ("ocaid", jv(F.concat(s("ia"), F.col("l_orderkey").cast("string")))),
     )
-    json = F.when(_pct("l_tax") == 8, F.concat(json, s(" trailing"))).otherwise(json)
+    json = F.concat(json, F.when(_pct("l_tax") == 8, s(" trailing")).otherwise(s("")))
     return dump_rows(lineitem, "/type/edition", key_of("/books/OL", edition_key(), "M"), json, edition_line_no(),
                      edition_revision())
 
