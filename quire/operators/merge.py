@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quire.functions.text import compose_slug, run_timestamp, split_slug
+from quire.operators.joins import hot_keys, lookup_join
 from quire.operators.rank import assign_ids, max_id, rank_within_groups
 from quire.operators.schemas import COUNTERS, DEDUP_ORDER
 from quire.session import scratch_dir
@@ -77,18 +78,32 @@ class ForeignKey:
         return (self.parent.where(F.col(self.parent_key).isNotNull())
                 .select(F.col(self.parent_key).alias(self.child_col), F.col(self.parent_id).alias(self.out_col)))
 
+    def resolve(self, df: DataFrame, how: str = "inner", hot_from: DataFrame | None = None) -> DataFrame:
+        """Add ``out_col``; with ``inner`` rows whose parent is unknown drop out.
+
+        Parents with a large share of the children are joined by broadcast; they are
+        found on ``hot_from`` (a written input with the same keys) when given.
+        """
+        hot = hot_keys(hot_from, self.child_col) if hot_from is not None else None
+        return lookup_join(df, self.ids(), self.child_col, how, hot=hot)
+
 
 def refresh(live: DataFrame, staged: DataFrame, columns: list[str], run_ts, key: str = KEY,
-            fk: ForeignKey | None = None, observation: Observation | None = None) -> DataFrame:
+            fk: ForeignKey | None = None, observation: Observation | None = None,
+            deduplicated: bool = False) -> DataFrame:
     """M1-M3 (B8, M8): overwrite ``columns`` of live rows that have a staged row.
 
     NULLs overwrite too; ``updated_at`` is bumped on every match; id, slug,
     created_at and counters are kept; live rows without a staged row are kept.  With
-    ``fk``, a staged row whose parent is unknown updates nothing.
+    ``fk``, a staged row whose parent is unknown updates nothing (the parent is
+    resolved on the narrow ``(key, fk)`` columns, then joined back on the unique key).
+    ``deduplicated`` skips G1 when the caller already kept one row per key.
     """
-    s = latest_per_key(staged, key)
+    s = staged if deduplicated else latest_per_key(staged, key)
     if fk is not None:
-        s = s.join(fk.ids(), fk.child_col)
+        narrow = s.select(key, fk.child_col)
+        resolved = fk.resolve(narrow, hot_from=narrow if deduplicated else None).select(key, fk.out_col)
+        s = s.join(resolved, key)
     s = s.select(key, *[F.col(c).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_hit"))
     keyed = live.where(F.col(key).isNotNull())
     unkeyed = live.where(F.col(key).isNull())
@@ -110,7 +125,7 @@ def refresh(live: DataFrame, staged: DataFrame, columns: list[str], run_ts, key:
 
 def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_ts, table: str,
                    key: str = KEY, admit: DataFrame | None = None, fk: ForeignKey | None = None,
-                   scratch: str | None = None) -> DataFrame:
+                   scratch: str | None = None, deduplicated: bool = False) -> DataFrame:
     """M4: insert new rows with fresh ids and deduplicated slugs.
 
     B1 (+ admission) -> G1 -> W1 over *all* new rows -> FK join (an edition dropped
@@ -123,11 +138,12 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     spark = staged.sparkSession
     scratch = scratch or scratch_dir(spark, f"insert-{table}")
     # Dedup before the anti/semi joins (same result): repeated keys collapse map-side.
-    new = materialize(new_rows(latest_per_key(staged, key), live, key, admit), f"{scratch}/new")
+    deduped = staged if deduplicated else latest_per_key(staged, key)
+    new = materialize(new_rows(deduped, live, key, admit), f"{scratch}/new")
     narrow_cols = [key, "base_slug"] + ([fk.child_col] if fk is not None else [])
     slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live))
     if fk is not None:
-        slugged = slugged.join(fk.ids(), fk.child_col)
+        slugged = fk.resolve(slugged, hot_from=new.select(fk.child_col))
     ids = assign_ids(slugged, key, max_id(live))
     extra = [fk.out_col] if fk is not None else []
     rows = new.join(ids.select(key, "slug", "id", *extra), key)
@@ -153,10 +169,10 @@ def authorship_links(refs: DataFrame, works: DataFrame, authors: DataFrame) -> D
     fewer rows into the joins); since natural keys map one-to-one to ids this equals
     grouping by ids.  Refs whose work or author is not live drop out.
     """
-    pre = refs.groupBy("work_olid", "author_olid").agg(F.min("position").alias("position"))
-    w = ForeignKey("work_olid", works, "work_id").ids()
-    a = ForeignKey("author_olid", authors, "author_id").ids()
-    return pre.join(w, "work_olid").join(a, "author_olid").select("work_id", "author_id", "position")
+    pre = materialize(refs.groupBy("work_olid", "author_olid").agg(F.min("position").alias("position")))
+    with_work = ForeignKey("work_olid", works, "work_id").resolve(pre, hot_from=pre)
+    with_both = ForeignKey("author_olid", authors, "author_id").resolve(with_work, hot_from=pre)
+    return with_both.select("work_id", "author_id", "position")
 
 
 def upsert_authorships(live: DataFrame, links: DataFrame, run_ts,

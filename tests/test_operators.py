@@ -133,3 +133,14 @@ def test_staged_base_slug_separator_rule(spark):
     checks.check_staged(ok, "authors")
     with pytest.raises(checks.IntegrityError):
         checks.check_staged(bad, "authors")
+
+
+def test_lookup_join_splits_hot_keys(spark):
+    from quire.operators.joins import hot_keys, lookup_join
+    many = spark.createDataFrame([("w1" if i % 3 else f"w{i % 50}", i) for i in range(3000)], "w string, i long")
+    lookup = spark.createDataFrame([(f"w{i}", i * 10) for i in range(40)], "w string, wid long")
+    assert hot_keys(many, "w", min_rows=10) == ["w1"]
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in lookup_join(many, lookup, "w", how, min_rows=10).collect())
+        want = sorted(tuple(r) for r in many.join(lookup, "w", how).collect())
+        assert got == want, how
