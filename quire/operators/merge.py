@@ -128,12 +128,12 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
                    scratch: str | None = None, deduplicated: bool = False) -> DataFrame:
     """M4: insert new rows with fresh ids and deduplicated slugs.
 
-    B1 (+ admission) -> G1 -> W1 over *all* new rows -> FK join (an edition dropped
-    there still used up its slug number) -> B7 offset by taken suffixes -> C9 slug;
-    created_at = updated_at = run_ts; counters start at 0; ids continue after the
-    live maximum.  Only the narrow ``(key, base_slug[, fk])`` columns go through the
-    numbering; the wide rows are joined back once, on the key they are already
-    partitioned by.
+    G1 -> B1 (+ admission) -> W1 over *all* new rows, offset by the suffixes already
+    taken (B6/B7) -> FK join (an edition dropped there still used up its slug
+    number) -> C9 slug -> M6 ids after the live maximum; created_at = updated_at =
+    run_ts; counters start at 0.  The new rows are written once; only the narrow
+    ``(key, base_slug[, fk])`` columns go through numbering and id assignment, and
+    the wide rows are joined back once on the unique key.
     """
     spark = staged.sparkSession
     scratch = scratch or scratch_dir(spark, f"insert-{table}")
