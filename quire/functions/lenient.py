@@ -185,10 +185,33 @@ def author_role_keys(v) -> Column:
     return lenient_array(v, _author_role_key, "string")
 
 
+def first_accepted(v, fn, element_type: str) -> Column:
+    """J5 + J11: the first array element that ``fn`` accepts, or NULL.
+
+    Element 0 is tried directly; only when it is junk (or ``v`` is not an array) is
+    the whole array mapped and filtered.  Same result as ``first(lenient_array(...))``
+    while skipping the per-element lambda work in the common case.
+    """
+    v = _col(v)
+    return F.coalesce(fn(F.try_variant_get(v, "$[0]", "variant")), F.get(lenient_array(v, fn, element_type), 0))
+
+
+def first_string(v) -> Column:
+    return first_accepted(v, lenient_string, "string")
+
+
+def first_ref_key(v) -> Column:
+    return first_accepted(v, ref_key, "string")
+
+
+def first_positive_int(v) -> Column:
+    return first_accepted(v, _positive_int, "int")
+
+
 def first_convertible(v) -> Column:
     """First element of an array that J2 accepts, or J2 of a scalar."""
     v = _col(v)
-    return F.coalesce(F.get(string_array(v), 0), lenient_string(v))
+    return F.coalesce(first_string(v), lenient_string(v))
 
 
 def identifiers(v, names=("amazon", "goodreads", "google")) -> Column:

@@ -139,3 +139,12 @@ def test_readers_never_raise(spark, records, junk):
     parsed = S.parse_lines(split_rows(df))
     for classify in (S.classify_editions, S.classify_works, S.classify_authors):
         assert len(classify(parsed).collect()) == len(lines)
+
+
+def test_first_accepted_skips_junk_at_the_front(spark):
+    vals = ['["", " b ", 3]', '[null, {"x":1}]', '"a"', '[" a "]']
+    assert one_col(spark, vals, _json(L.first_string)) == ["b", None, None, "a"]
+    refs = ['[5, {"key":"/works/OL1W"}]', '[{"key":"/works/OL2W"}, "/works/OL3W"]', '{"key":"/works/OL1W"}']
+    assert one_col(spark, refs, _json(L.first_ref_key)) == ["OL1W", "OL2W", None]
+    ints = ["[-1, 0, 7]", "[3.0, 5]", "[]", "7"]
+    assert one_col(spark, ints, _json(L.first_positive_int)) == [7, 5, None, None]
