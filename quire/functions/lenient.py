@@ -5,7 +5,8 @@ Column -> Column expression over that variant (no Python UDF), so the whole pars
 stays inside whole-stage codegen.
 
 Type tests use ``schema_of_variant``: integers parse as ``BIGINT``; numbers with a
-fraction or a trailing ``.0`` parse as ``DECIMAL(p,s)``; exponent forms as ``DOUBLE``.
+fraction or a trailing ``.0`` parse as ``DECIMAL(p,s)`` (``1.0`` as ``DECIMAL(1,0)``);
+exponent forms as ``DOUBLE``.
 A plain cast would turn ``true`` into ``'true'`` and objects into JSON text, so each
 reader checks the type first.
 """
@@ -84,21 +85,39 @@ def is_object(v) -> Column:
     return vtype(v).startswith("OBJECT")
 
 
+def shortest_float_text(d) -> Column:
+    """A double as shortest round-trip text: plain for 1e-5 <= |x| < 1e16 (``100.0``,
+    ``0.0025``), else ``1e16`` / ``1.5e-7`` -- how the reference prints a parsed float.
+
+    Spark keeps the shortest digits in both conversions used here: to
+    ``decimal(38,22)`` (exact for 17 significant digits anywhere in the plain range)
+    and to string, which only needs its ``1.0E7`` spelling changed outside that range.
+    """
+    x = _col(d)
+    plain = F.regexp_replace(F.regexp_replace(x.cast("decimal(38,22)").cast("string"), "0+$", ""), r"\.$", ".0")
+    expo = F.regexp_replace(F.regexp_replace(x.cast("string"), r"\.0E", "E"), "E", "e")
+    return F.when((F.abs(x) >= 1e-5) & (F.abs(x) < 1e16), plain).otherwise(expo)
+
+
+_U64_MAX = "18446744073709551615"
+
+
 def _number_text(v: Column, ty: Column) -> Column:
-    """Text of a JSON number as the reference prints it (``1.0`` stays ``1.0``).
+    """Text of a JSON number as the reference prints it.
 
-    Integers arrive as BIGINT.  ``DECIMAL(p,0)`` with p <= 18 can only come from a
-    literal such as ``100.0``, which prints with ``.0``.  Exponent forms arrive as
-    DOUBLE and are printed in ``1e300`` style.
+    Integers arrive as BIGINT (or, between 2^63 and 2^64, as DECIMAL(19|20,0)) and print
+    exactly.  Numbers with a fraction, exponent or trailing ``.0`` are floats for the
+    reference: short decimals print as written (``1.0``, ``112946.26``), the rest
+    through the double's shortest text.
     """
     s = F.try_variant_get(v, "$", "string")
-    dbl = F.regexp_replace(F.regexp_replace(s, r"\.0E", "E"), "E", "e")
-    return (
-        F.when(ty == "BIGINT", s)
-        .when(ty.rlike(r"^DECIMAL\(([1-9]|1[0-8]),0\)$"), F.concat(s, F.lit(".0")))
-        .when(ty.startswith("DECIMAL"), s)
-        .when(ty == "DOUBLE", dbl)
-    )
+    x = F.try_variant_get(v, "$", "double")
+    short_decimal = ty.rlike(r"^DECIMAL\(([1-9]|1[0-5]),") & ((x == 0) | (F.abs(x) >= 1e-5))
+    u64 = ty.rlike(r"^DECIMAL\((19|20),0\)$") & (s.try_cast("decimal(20,0)") <= F.lit(_U64_MAX).cast("decimal(20,0)"))
+    return (F.when(ty == "BIGINT", s)
+            .when(short_decimal, F.when(ty.endswith(",0)"), F.concat(s, F.lit(".0"))).otherwise(s))
+            .when(u64, s)
+            .when(ty.startswith("DECIMAL") | (ty == "DOUBLE"), shortest_float_text(x)))
 
 
 def lenient_string(v) -> Column:

@@ -148,3 +148,13 @@ def test_first_accepted_skips_junk_at_the_front(spark):
     assert one_col(spark, refs, _json(L.first_ref_key)) == ["OL1W", "OL2W", None]
     ints = ["[-1, 0, 7]", "[3.0, 5]", "[]", "7"]
     assert one_col(spark, ints, _json(L.first_positive_int)) == [7, 5, None, None]
+
+
+def test_float_text_matches_shortest_round_trip(spark):
+    vals = ["1e7", "1.5e16", "1e-7", "2.5e-3", "0.000001", "0.00001", "123456789012345678901234567890.5",
+            "12345678901234567.0", "1e16", "1234567.0", "0.1", "1e300", "-1.5e-7", "99999999999999999999",
+            "18446744073709551615", "1e2", "1.0", "112946.26", "0.0", "-3", "9223372036854775808"]
+    assert one_col(spark, vals, _json(L.lenient_string)) == [
+        "10000000.0", "1.5e16", "1e-7", "0.0025", "1e-6", "0.00001", "1.2345678901234568e29",
+        "1.2345678901234568e16", "1e16", "1234567.0", "0.1", "1e300", "-1.5e-7", "1e20",
+        "18446744073709551615", "100.0", "1.0", "112946.26", "0.0", "-3", "9223372036854775808"]
