@@ -170,3 +170,16 @@ def test_dev_cap_across_scan_partitions(spark):
         got = {r["olid"] for r in S.first_n_in_file_order(parsed.withColumn("revision", F.lit(1).cast("bigint")), n)
                .select("olid").collect()}
         assert got == {k for _, k in ordered[:n]}, n
+
+
+def test_vacuum_keeps_newest_versions(spark):
+    d, root = _dir("dumps"), _dir("store")
+    _catalogue(d)
+    run_import(spark, d, root, run_ts=T1)
+    run_import(spark, d, root, run_ts=T2)
+    store = TableStore(spark, root)
+    before = _rows(store, "works", ["open_library_id", "slug"])
+    assert store._versions("works")[-1] >= 4
+    gone = store.vacuum("works", keep=1)
+    assert gone and store._versions("works", committed_only=False) == [store.version("works")]
+    assert _rows(store, "works", ["open_library_id", "slug"]) == before
