@@ -65,8 +65,9 @@ def parse_record(json_text) -> Column:
     elements, the second is the sentinel and the first is an object.  Returns the
     object as a VARIANT, or NULL for a malformed record.
 
-    As a single expression; ``stage.parse_lines`` splits the parse and the checks
-    into two projections so the text is parsed once per line.
+    As a single expression it repeats its input three times; on DataFrames prefer
+    ``wrap_record`` and ``record_of`` in two projections (``stage.parse_lines``), so
+    the text is built and parsed once per line.
     """
     return record_of(wrap_record(json_text))
 
