@@ -47,6 +47,7 @@ def test_arrays(spark):
     out = one_col(spark, ['[{"key":"/works/OL1W"},"/works/OL2W",{"key":{"key":"/works/OL3W"}},5,{"key":7},{}]',
                           '{"key":"/works/OL1W"}'], _json(L.key_ref_array))
     assert out == [["OL1W", "OL2W", "OL3W"], []]
+    assert one_col(spark, ['["", "/a/", {"key": ""}]'], _json(L.key_ref_array)) == [["", "", ""]]
 
 
 def test_author_role_keys(spark):

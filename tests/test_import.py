@@ -58,9 +58,11 @@ def test_split_and_scan(spark):
         "a\tb\tc\td",
         "",
         "a\tb\tc\td\t",
+        "a\tb\tc\td\t{\"x\":1}\r{bare CR inside}",
     ], members=3)
     rows = split_rows(read_dump_lines(spark, find_dump(spark, d, "works"), 4)).orderBy("line_no").collect()
-    assert [r["cols_ok"] for r in rows] == [True, True, False, False, True]
+    assert [r["cols_ok"] for r in rows] == [True, True, False, False, True, True]
+    assert rows[5]["json"] == '{"x":1}\r{bare CR inside}'
     assert rows[0]["key"] == "/works/OL1W" and rows[0]["json"] == '{"title":"A"}'
     assert rows[1]["json"] == "{x\ty}"
     assert rows[4]["json"] == ""
