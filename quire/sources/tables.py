@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, *cols: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition on ``cols`` when a scan yields fewer partitions than the shuffle
-    parallelism (e.g. a file with one row group), so per-row parsing uses every core.
-
-    Hashing a key is deterministic on retry and spreads evenly; a scan that is
-    already split (the normal case on large inputs) is returned unchanged.
-    """
-    target = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= target:
+def too_few_splits(df: DataFrame) -> bool:
+    """A scan that cannot keep a quarter of the cores busy (one gzip file, one row
+    group).  Many input files (the normal case at scale) are parsed where they are
+    read; re-shuffling them would only move raw text around."""
+    return df.rdd.getNumPartitions() * 4 < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, *cols: str, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``cols`` when the scan has too few splits, so per-row parsing
+    uses every core.  Hashing a key is deterministic on retry and spreads evenly."""
+    if not too_few_splits(df):
         return df
+    target = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(target, *(cols or df.columns[:1]))
 
 
