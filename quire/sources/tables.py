@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def too_few_splits(df: DataFrame) -> bool:
-    """A scan that cannot keep a quarter of the cores busy (one gzip file, one row
-    group).  Many input files (the normal case at scale) are parsed where they are
+    """Input from too few files to keep a quarter of the cores busy (one gzip dump, a
+    one-row-group Parquet file).  Files are counted, not planned splits: a small
+    Parquet file can be planned as several splits of which only one holds its row
+    group.  Many input files (the normal case at scale) are parsed where they are
     read; re-shuffling them would only move raw text around."""
-    return df.rdd.getNumPartitions() * 4 < df.sparkSession.sparkContext.defaultParallelism
+    files = max(len(df.inputFiles()), 1)
+    return files * 4 < df.sparkSession.sparkContext.defaultParallelism
 
 
 def spread(df: DataFrame, *cols: str, num_partitions: int | None = None) -> DataFrame:
