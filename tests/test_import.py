@@ -185,3 +185,10 @@ def test_vacuum_keeps_newest_versions(spark):
     gone = store.vacuum("works", keep=1)
     assert gone and store._versions("works", committed_only=False) == [store.version("works")]
     assert _rows(store, "works", ["open_library_id", "slug"]) == before
+
+
+def test_spread_counts_files_not_splits(spark):
+    from quire.sources.tables import spread, too_few_splits
+    one = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    assert too_few_splits(one)
+    assert spread(one, "l_orderkey").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
