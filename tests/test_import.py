@@ -192,3 +192,15 @@ def test_spread_counts_files_not_splits(spark):
     one = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
     assert too_few_splits(one)
     assert spread(one, "l_orderkey").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_store_absent_table_and_uncommitted_version(spark):
+    from quire.operators.schemas import LIVE
+    root = _dir("store")
+    store = TableStore(spark, root, dict(LIVE))
+    empty = store.read("works")
+    assert empty.schema.names == LIVE["works"].names and empty.count() == 0 and store.is_empty("works")
+    # A version without the commit marker (a crashed run) is never read.
+    empty.write.parquet(f"{root}/works/v=1")
+    assert store.version("works") is None
+    assert store.write("works", empty) == 2 and store.version("works") == 2
