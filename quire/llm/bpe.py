@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -25,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import file_bytes, safe_blocks, table
+from quire.llm.common import LONE_SPACE, file_bytes, safe_blocks, table
 
 CACHED = 250_000      # stretches, and pieces, whose ids a worker keeps in each of two generations
 CACHED_BYTES = 64     # longer ones are not kept
 CACHED_PAIRS = 2_000_000  # pair verdicts a worker keeps at most
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Recent(dict):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,24 @@ from quire.session import scratch_dir
 #: A cut before a space between two ASCII letters never crosses a word, a contraction or
 #: a special string, so pieces of a text cut there tokenise as the whole text does.
 SAFE_CUT = re.compile(r"(?<=[a-z])(?= [a-z])")
+#: A space between two characters that are not white space.
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.  Clusters whose
+    executors do not see that folder ship the package with ``--py-files`` instead."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return scratch_dir(spark, name)

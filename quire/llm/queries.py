@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe
+from quire.llm import bpe, tokens
 
 QUERIES = {
+    "op4_token_counts": tokens.op4_token_counts,
     "op6_byte_bpe": bpe.op6_byte_bpe,
 }
 
