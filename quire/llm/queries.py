@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, tokens
+from quire.llm import bpe, simhash, tokens
 
 QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
