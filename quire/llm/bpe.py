@@ -4,7 +4,8 @@ For every byte prefix of a piece there is exactly one token that can end the pre
 encoding: the candidate whose pair with the last token of the shorter prefix re-merges to
 itself.  ``last_tokens`` stores that token for each prefix, so an encoding is read off by
 walking back, an append only adds entries, and an edit recomputes the entries behind it
-(``append_text`` and ``edit_text`` do so between the nearest safe cuts of a whole text).
+(``append_text`` and
+``edit_text`` do so between the nearest safe cuts of a whole text).
 
 Defined cases: a null text encodes as the empty text (no ids); null ids decode to empty
 bytes; texts of any length are processed whole, in blocks cut where no piece can cross;
@@ -16,34 +17,34 @@ from __future__ import annotations
 
 import base64
 import functools
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import LONE_SPACE, file_bytes, safe_blocks, table
 
-CACHED = 250_000      # stretches, and pieces, whose ids a worker keeps in each of two generations
-CACHED_BYTES = 64     # longer ones are not kept
-CACHED_PAIRS = 2_000_000  # pair verdicts a worker keeps at most
+CACHED = 350_000        # stretches whose ids a worker keeps in each of two generations
+CACHED_PREFIXES = 300_000  # byte prefixes whose last token it keeps, likewise
+CACHED_PAIRS = 300_000  # pair verdicts it keeps at most
+CACHED_BYTES = 64       # longer stretches and pieces are not kept
 
 
 class Recent(dict):
     """A bounded cache: entries unused for a whole generation are forgotten."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, key: str):
+    def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= CACHED_BYTES:
-            if len(self) >= CACHED:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -58,13 +59,17 @@ class Vocabulary:
 
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        # Every suffix of a token, and whether it is a token itself.
-        self.suffixes = {t[i:]: False for t in ranks for i in range(1, len(t))} | dict.fromkeys(ranks, True)
+        self.packed = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
         self.findall = regex.compile(pattern).findall
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.made: dict[bytes, tuple[bytes, ...] | None] = {}
-        self.pieces = Recent(self._piece)
-        self.after_space = Recent(lambda s: self._stretch(" " + s))
+        self.prefixes = Recent(self._last, CACHED_PREFIXES)
+        self.after_space = Recent(lambda s: self._stretch(" " + s), CACHED)
+
+    @functools.cached_property
+    def suffixes(self) -> dict[bytes, bool]:
+        """Every suffix of a token, and whether it is a token itself."""
+        return {t[i:]: False for t in self.ranks for i in range(1, len(t))} | dict.fromkeys(self.ranks, True)
 
     def halves(self, token: bytes) -> tuple[bytes, ...] | None:
         """The two tokens whose merge makes a token; () for a byte, None if merges never make it."""
@@ -111,57 +116,64 @@ class Vocabulary:
             else:
                 return True
 
-    def _last(self, data: bytes, end: int, last: dict[int, bytes]) -> bytes:
-        """The token that ends the encoding of ``data[:end]``; ``last`` stores what is known."""
-        if end in last:
-            return last[end]
-        start, candidates = end - 1, []
-        while start >= 0 and (kind := self.suffixes.get(tail := data[start:end])) is not None:
+    def candidates(self, data: bytes, end: int) -> list[bytes]:
+        """The tokens that ``data[:end]`` ends with, longest first."""
+        start, found, suffixes = end - 1, [], self.suffixes
+        while start >= 0 and (kind := suffixes.get(tail := data[start:end])) is not None:
             if kind:
-                candidates.append(tail)
+                found.append(tail)
             start -= 1
-        for token in reversed(candidates):
+        found.reverse()
+        return found
+
+    def _last(self, prefix: bytes) -> bytes:
+        """The token that ends the encoding of a short prefix; ``prefixes`` stores it."""
+        end = len(prefix)
+        for token in self.candidates(prefix, end):
             before = end - len(token)
-            if self.fits(self._last(data, before, last) if before else b"", token):
-                last[end] = token
+            if self.fits(self.prefixes[prefix[:before]] if before else b"", token):
                 return token
         raise ValueError("the vocabulary cannot encode a byte")
 
-    def last_tokens(self, data: bytes, last: dict[int, bytes] | None = None) -> dict[int, bytes]:
-        """The last token of every prefix, by prefix length.  Entries given in ``last``
-        are kept, so an append computes only those of its own bytes."""
-        last = {} if last is None else last
-        for end in range(1, len(data) + 1):
-            self._last(data, end, last)
+    def last_tokens(self, data: bytes, last: list[bytes] | None = None) -> list[bytes]:
+        """``last[i]``: the token that ends the encoding of ``data[:i]`` (``last[0]`` is empty).
+        Entries given in ``last`` are kept, so an append computes only those of its own bytes."""
+        last = list(last) if last else [b""]
+        for end in range(len(last), len(data) + 1):
+            for token in self.candidates(data, end):
+                if self.fits(last[end - len(token)], token):
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("the vocabulary cannot encode a byte")
         return last
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
+        """Packed ids of one match of the pattern, read off backwards from the last tokens."""
         data = piece.encode("utf-8", "surrogatepass")
         if data in self.ranks:
-            return (self.ranks[data],)
-        last: dict[int, bytes] = {}
-        for end in range(64, len(data), 64):  # keeps the recursion shallow; the rest is filled as needed
-            self._last(data, end, last)
+            return self.packed[data]
         found, end = [], len(data)
+        last = self.last_tokens(data) if end > CACHED_BYTES else None
         while end:
-            token = self._last(data, end, last)
-            found.append(self.ranks[token])
+            token = last[end] if last else self.prefixes[data[:end]]
+            found.append(self.packed[token])
             end -= len(token)
-        return tuple(reversed(found))
+        found.reverse()
+        return b"".join(found)
 
-    def _stretch(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.findall(text))))
+    def _stretch(self, text: str) -> bytes:
+        return b"".join(map(self._piece, self.findall(text)))
 
-    def encode(self, text: str, into: array | None = None) -> array:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text.  A space between two characters that are not white space
         always starts a piece, so the stretches between such spaces are encoded (and
         remembered) one by one."""
-        ids = array("i") if into is None else into
+        packed = []
         for block in safe_blocks(text):
             first, *rest = LONE_SPACE.split(block)
-            ids.extend(self._stretch(first))
-            ids.extend(chain.from_iterable(map(self.after_space.__getitem__, rest)))
-        return ids
+            packed += [self._stretch(first), *map(self.after_space.__getitem__, rest)]
+        return np.frombuffer(b"".join(packed), "<i4")
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -228,12 +240,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(shared.value, pattern)
         for batch in batches:
-            found, ends = array("i"), [0]
-            for value in batch:
-                vocab.encode(value.as_py() or "", found)
-                ends.append(len(found))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(memoryview(found), pa.int32())
-                                           if found else pa.array([], pa.int32()))
+            found = [vocab.encode(value.as_py() or "") for value in batch]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *found])))
 
     return df.withColumn(ids, ids_of(F.col(text)))
 
@@ -247,7 +256,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", data:
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(shared.value, pattern)
         for batch in batches:
-            yield pa.array([vocab.decode(v.values.to_pylist() if v.is_valid else ()) for v in batch], pa.binary())
+            yield pa.array([vocab.decode(v.values.to_numpy().tolist() if v.is_valid else ()) for v in batch], pa.binary())
 
     return df.withColumn(data, bytes_of(F.col(ids)))
 
