@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, simhash, tokens
+from quire.llm import bpe, simhash, tokens, warc
 
 QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_warc": warc.OP9_SQL,
+}
