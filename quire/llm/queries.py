@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, simhash, tokens, warc
+from quire.llm import bpe, shards, simhash, tokens, warc
 
 QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
+    "op5_shards": shards.op5_shards,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_shards": shards.OP5_SQL,
     "op9_warc": warc.OP9_SQL,
 }
