@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, shards, simhash, tokens, warc
+from quire.llm import bpe, shards, simhash, sketch, tokens, warc
 
 QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op5_shards": shards.op5_shards,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_fingerprints": sketch.op7_fingerprints,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
 }
