@@ -67,3 +67,9 @@ def safe_blocks(text: str, limit: int = 1 << 20):
         yield text[start:cut.start()]
         start = cut.start()
     yield text[start:] if start else text
+
+
+def sized(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """Written narrow rows, to be broadcast if there are at most ``most`` of them; beyond that
+    Spark joins by shuffling."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

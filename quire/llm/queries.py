@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, shards, simhash, sketch, tokens, warc
+from quire.llm import bpe, shards, simhash, sketch, tokens, warc, winnow
 
 QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op5_shards": shards.op5_shards,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_fingerprints": sketch.op7_fingerprints,
+    "op8_decontamination": winnow.op8_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE: dict[str, str] = {
     "op5_shards": shards.OP5_SQL,
+    "op8_decontamination": winnow.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
 }
