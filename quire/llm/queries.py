@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, shards, simhash, sketch, tokens, warc, winnow
+from quire.llm import bpe, langid, shards, simhash, sketch, tokens, warc, winnow
 
 QUERIES = {
+    "op1_language": langid.op1_language,
     "op4_token_counts": tokens.op4_token_counts,
     "op5_shards": shards.op5_shards,
     "op6_byte_bpe": bpe.op6_byte_bpe,
