@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import LONE_SPACE, file_bytes, safe_blocks, table
 
-CACHED = 350_000        # stretches whose ids a worker keeps in each of two generations
-CACHED_PREFIXES = 300_000  # byte prefixes whose last token it keeps, likewise
-CACHED_PAIRS = 300_000  # pair verdicts it keeps at most
+CACHED = 120_000        # stretches whose ids a worker keeps in each of two generations
+CACHED_PREFIXES = 150_000  # byte prefixes whose last token it keeps, likewise
+CACHED_PAIRS = 200_000  # pair verdicts it keeps at most
 CACHED_BYTES = 64       # longer stretches and pieces are not kept
 
 
