@@ -137,36 +137,43 @@ def encode_texts(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("content", n_tokens("text").alias("n_tokens"))
 
 
-def count_tokens(df: DataFrame, path: str, cache_dir: str, text: str = "text", key: str = "doc_id",
-                 out: str = "n_tokens") -> DataFrame:
-    """Add the token count of every whole text; contents not yet in the cache are appended to it.
+def content_counts(df: DataFrame, path: str, cache_dir: str, text: str = "text", key: str = "doc_id",
+                   out: str = "n_tokens") -> DataFrame:
+    """(key, content, n_bytes, tokens): one row per input row, without its text; contents not
+    yet in the cache are appended to it.
 
     Texts are shuffled once, and only those of one row per missing content are encoded;
     everything else moves digests."""
-    spark = df.sparkSession
-    if out.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"the input already has a column {out}")
-    version = tokenizer_digest(path)
-    digest = F.sha2(normalised(F.col(text)).cast("binary"), 256)
-    contents = written(df.select(F.col(key).alias("key"), digest.alias("content")), "digests")
+    spark, version = df.sparkSession, tokenizer_digest(path)
+    body = normalised(F.col(text))
+    digest = F.sha2(body.cast("binary"), 256)
+    contents = written(df.select(F.col(key).alias("key"), digest.alias("content"),
+                                 F.octet_length(body).cast("long").alias("n_bytes")), "digests")
     missing = (contents.join(read_cache(spark, cache_dir, version), "content", "left_anti")
                .groupBy("content").agg(F.min("key").alias("key")))
     missing = written(missing, "missing")
-    texts = df.select(F.col(key).alias("key"), digest.alias("content"), normalised(F.col(text)).alias("text"))
+    texts = df.select(F.col(key).alias("key"), digest.alias("content"), body.alias("text"))
     chosen = missing.withColumnsRenamed({"key": "k", "content": "c"})
     found = texts.join(chosen, texts.key.eqNullSafe(F.col("k")) & (texts.content == F.col("c")), "left_semi")
     new = encode_texts(found, path).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     new.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_dir)
     counts = read_cache(spark, cache_dir, version).withColumnsRenamed({"content": "c", "n_tokens": out})
-    return df.withColumn("__content", digest).join(counts, F.col("__content") == F.col("c"), "left").drop("__content", "c")
+    return contents.join(counts, F.col("content") == F.col("c"), "left").drop("c")
+
+
+def count_tokens(df: DataFrame, path: str, cache_dir: str, text: str = "text", key: str = "doc_id",
+                 out: str = "n_tokens") -> DataFrame:
+    """The input with the token count of every whole text added."""
+    if out.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the input already has a column {out}")
+    counts = content_counts(df, path, cache_dir, text, key, out).select(F.col("content").alias("__c"), out).distinct()
+    return df.join(counts, F.sha2(normalised(F.col(text)).cast("binary"), 256) == F.col("__c"), "left").drop("__c")
 
 
 def limits(docs: DataFrame, path: str, cache_dir: str) -> DataFrame:
     """Per document: bytes, tokens, and whether it is over ``MAX_TOKENS``."""
-    narrow = docs.select("doc_id", F.col("text").alias("text"))
-    rows = count_tokens(narrow, path, cache_dir)
-    return rows.select("doc_id", F.octet_length(normalised(F.col("text"))).cast("long").alias("n_bytes"), "n_tokens",
-                       (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
+    return content_counts(docs, path, cache_dir).select(
+        F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
 def op4_token_counts(spark, sf_dir: str) -> DataFrame:
