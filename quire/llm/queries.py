@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, langid, shards, simhash, sketch, tokens, toxicity, warc, winnow
+from quire.llm import bpe, langid, pii, shards, simhash, sketch, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_language": langid.op1_language,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_surrogates": pii.op3_surrogates,
     "op4_token_counts": tokens.op4_token_counts,
     "op5_shards": shards.op5_shards,
     "op6_byte_bpe": bpe.op6_byte_bpe,
