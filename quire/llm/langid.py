@@ -103,6 +103,8 @@ class Model:
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = sorted(counts)
+        if not counts:
+            return
         own = [self._orders(*counts[lang]) for lang in self.langs]
         self.first = np.stack([o[0] for o in own], 1)              # order 1, every symbol
         self.keys, self.logs, self.contexts, self.backoffs = {}, {}, {}, {}
@@ -161,12 +163,14 @@ class Model:
 
     def entropies(self, text: str) -> np.ndarray | None:
         """Cross-entropy in bits a symbol under every language; None without letters."""
+        if not self.langs:
+            return None
         total, n, letters = np.zeros(len(self.langs)), 0, False
         for found in grams(text):
             letters = letters or bool(found.any())
             total += self._order(ORDER, found).sum(axis=0, dtype=np.float64)
             n += len(found)
-        return -total / n if letters and len(self.langs) else None
+        return -total / n if letters else None
 
 
 def train(rows: DataFrame) -> Model:
@@ -220,7 +224,8 @@ def calibrated(scored: DataFrame) -> tuple[list[float], dict[str, float]]:
 
 
 def margin_bin(margin: Column) -> Column:
-    return F.least(F.floor(margin / BIN), F.lit(BINS - 1)).cast("int")
+    """Null for texts without a margin (``least`` alone would skip the null)."""
+    return F.when(margin.isNotNull(), F.least(F.floor(margin / BIN), F.lit(BINS - 1)).cast("int"))
 
 
 def identify(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -197,10 +197,10 @@ def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None
     new = tokens.join(made, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v")), "left") \
         .withColumn("new", rendered()).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("parts")) \
         .select(F.col("mention").alias("m"), F.array_join(F.col("parts.new"), "").alias("new"))
-    maps = places.join(new, F.col("mention") == F.col("m")).groupBy("d").agg(
+    maps = places.join(new, F.col("mention") == F.col("m")).groupBy(F.col("d").alias("__key")).agg(
         F.map_from_entries(F.collect_set(F.struct("mention", "new"))).alias("__new"))
-    rows = df.withColumn("__d", digest).join(sized(written(maps, "replacements")), F.col("__d") == F.col("d"), "left") \
-        .drop("__d", "d").withColumn("__found", F.when(F.col("__new").isNotNull(), found)) \
+    rows = df.withColumn("__d", digest).join(sized(written(maps, "replacements")), F.col("__d") == F.col("__key"), "left") \
+        .drop("__d", "__key").withColumn("__found", F.when(F.col("__new").isNotNull(), found)) \
         .withColumn("__gaps", F.when(F.col("__new").isNotNull(), F.split(F.col(text), ANY, -1)))
     joined = F.array_join(F.transform("__gaps", lambda g, i: F.concat(
         g, F.coalesce(F.element_at(F.col("__new"), F.get("__found", i)), F.lit("")))), "")

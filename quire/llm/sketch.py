@@ -113,10 +113,10 @@ def with_next(df: DataFrame, key: str, text: str, columns: list[str], derive=lam
         F.min(F.struct((-F.col("key")).alias("down"), "digest", "key")).alias("top")).orderBy(F.desc("range")).collect()
     after = [(tops[k]["range"], tops[(k + 1) % len(tops)]["top"]["key"], tops[(k + 1) % len(tops)]["top"]["digest"])
              for k in range(len(tops))]
-    ghosts = df.sparkSession.createDataFrame(after, "__range int, k long, d string")
+    ghosts = df.sparkSession.createDataFrame(after, "__range int, __k long, __d string")
     rows = df.withColumns({"__range": at(F.col(key)), "__ghost": F.lit(False)})
-    copies = df.join(F.broadcast(ghosts), F.col(key).eqNullSafe(F.col("k"))).where(digest == F.col("d")) \
-        .withColumn("__ghost", F.lit(True)).drop("k", "d")
+    copies = df.join(F.broadcast(ghosts), F.col(key).eqNullSafe(F.col("__k"))).where(digest == F.col("__d")) \
+        .withColumn("__ghost", F.lit(True)).drop("__k", "__d")
     both = derive(rows.unionByName(copies))
     order = Window.partitionBy("__range").orderBy("__ghost", F.col(key).desc_nulls_last(), digest)
     return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where(~F.col("__ghost")) \
