@@ -9,7 +9,6 @@ Sub-packages:
     sources     dump discovery/scan and the versioned Parquet table store
     operators   staging projections, filters, dedup, ranking, merge, counters, checks
     plans       the import modes composed from the operators
-    streaming   note on streaming (the import is batch-only)
 """
 
 from quire.session import get_session, scratch_dir  # noqa: F401

@@ -1,8 +1,8 @@
 """Lenient JSON readers: every reader accepts any JSON value and extracts what it can.
 
 A record's JSON text is parsed once into a ``VARIANT``; each reader is a native
-Column -> Column expression over that variant (no Python UDF), so the whole parse
-stays inside whole-stage codegen.
+Column -> Column expression over that variant (no Python UDF).  Readers of whole arrays
+use lambdas, which run outside whole-stage codegen.
 
 Type tests use ``schema_of_variant``: integers parse as ``BIGINT``; numbers with a
 fraction or a trailing ``.0`` parse as ``DECIMAL(p,s)`` (``1.0`` as ``DECIMAL(1,0)``);
@@ -27,6 +27,8 @@ UNICODE_WHITESPACE = (
 )
 # Appended after the record when it is wrapped in a JSON array for the strict parse.
 _SENTINEL = "~end-of-record~"
+# Levels of nesting that the JSON parser accepts.
+MAX_NESTING = 1000
 # -----------------------------------------------------------------------------
 
 
@@ -179,7 +181,8 @@ def short_key(c) -> Column:
 def ref_key(x, depth: int = 4) -> Column:
     """J8 element: a string gives its last path segment; an object recurses into ``key``.
 
-    Nesting is followed ``depth`` levels deep.
+    The first ``depth`` levels are native terms; only where an object is left below them
+    does a loop go on, as deep as the parser accepts documents.
     """
     x = _col(x)
     terms = []
@@ -188,7 +191,13 @@ def ref_key(x, depth: int = 4) -> Column:
         node = F.try_variant_get(x, path, "variant")
         terms.append(F.when(vtype(node) == "STRING", short_key(F.try_variant_get(node, "$", "string"))))
         path += "['key']"
-    return F.coalesce(*terms)
+    node = F.try_variant_get(x, path, "variant")
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_NESTING)), node, lambda n, _: F.when(
+        vtype(n).startswith("OBJECT"), F.try_variant_get(n, "$['key']", "variant")).otherwise(n))
+    deep = F.when(vtype(node) == "STRING", short_key(F.try_variant_get(node, "$", "string"))).when(
+        vtype(node).startswith("OBJECT"),
+        F.when(vtype(last) == "STRING", short_key(F.try_variant_get(last, "$", "string"))))
+    return F.coalesce(*terms, deep)
 
 
 def key_ref_array(v) -> Column:

@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.sources.dumps import split_rows
-from quire.sources.tables import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, hash-spread on its key column when the scan is a single split."""
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table dealt by its first column, as dump lines are dealt by their number:
+    the rows become JSON lines, and parsing them is the work."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), df.columns[0])
 
 
 # -- JSON text builders (native expressions) ----------------------------------

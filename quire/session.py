@@ -7,7 +7,6 @@ when that setting is absent (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,9 +28,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local["):
+            builder = builder.config("spark.driver.memory", "16g")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -40,10 +40,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when none is configured."""
+    """The shared checkpoint folder.  A private one is set only for a local master: on a
+    cluster a folder of one machine would lose rows, so none configured is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -56,15 +59,3 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/quire/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_path(path), exist_ok=True)

@@ -1,32 +1,8 @@
-"""Reading the given Parquet tables."""
+"""Written intermediate tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def too_few_splits(df: DataFrame) -> bool:
-    """Input from too few files to keep a quarter of the cores busy (one gzip dump, a
-    one-row-group Parquet file).  Files are counted, not planned splits: a small
-    Parquet file can be planned as several splits of which only one holds its row
-    group.  Many input files (the normal case at scale) are parsed where they are
-    read; re-shuffling them would only move raw text around."""
-    files = max(len(df.inputFiles()), 1)
-    return files * 4 < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, *cols: str, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition on ``cols`` when the scan has too few splits, so per-row parsing
-    uses every core.  Hashing a key is deterministic on retry and spreads evenly."""
-    if not too_few_splits(df):
-        return df
-    target = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(target, *(cols or df.columns[:1]))
-
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df, *([key] if key else []))
+from pyspark.sql import DataFrame
 
 
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:

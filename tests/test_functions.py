@@ -159,3 +159,16 @@ def test_float_text_matches_shortest_round_trip(spark):
         "10000000.0", "1.5e16", "1e-7", "0.0025", "1e-6", "0.00001", "1.2345678901234568e29",
         "1.2345678901234568e16", "1e16", "1234567.0", "0.1", "1e300", "-1.5e-7", "1e20",
         "18446744073709551615", "100.0", "1.0", "112946.26", "0.0", "-3", "9223372036854775808"]
+
+
+def test_reference_keys_of_any_depth(spark):
+    refs = []
+    for depth in (1, 4, 5, 6, 60):
+        v = '"/works/OL5W"'
+        for _ in range(depth):
+            v = f'{{"key": {v}}}'
+        refs.append(v)
+    refs += ['{"key": {"key": {"key": {"key": {"key": 7}}}}}', '{"key": {"key": {"key": {"key": {"other": "x"}}}}}']
+    got = one_col(spark, [f"[{r}]" for r in refs], _json(L.key_ref_array))
+    assert got == [["OL5W"]] * 5 + [[]] * 2
+    assert one_col(spark, [f"[{r}]" for r in refs], _json(L.first_ref_key)) == ["OL5W"] * 5 + [None] * 2

@@ -187,11 +187,16 @@ def test_vacuum_keeps_newest_versions(spark):
     assert _rows(store, "works", ["open_library_id", "slug"]) == before
 
 
-def test_spread_counts_files_not_splits(spark):
-    from quire.sources.tables import spread, too_few_splits
-    one = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
-    assert too_few_splits(one)
-    assert spread(one, "l_orderkey").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_dump_lines_are_always_spread(spark, tmp_path):
+    import gzip
+
+    from quire.sources.dumps import read_dump_lines
+    for n in range(3):
+        with gzip.open(tmp_path / f"part{n}.txt.gz", "wt") as f:
+            f.write("a\nb\r\nc\n")
+    lines = read_dump_lines(spark, str(tmp_path), num_partitions=5)
+    assert "repartition" in lines._jdf.queryExecution().logical().toString().lower()
+    assert sorted(r.line for r in lines.collect()) == sorted("abc" * 3)
 
 
 def test_store_absent_table_and_uncommitted_version(spark):
