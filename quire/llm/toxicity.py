@@ -9,8 +9,8 @@ dependent voters are weighed down.  Its posteriors, not the labels, train a line
 classifier (logistic regression) whose score is a function of the text alone.
 
 Defined cases: null and empty texts are scored as texts without any word; rows without a
-key or a label teach nothing; several labels of a key count as toxic if any does; repeated
-rows keep a row each; without labelled rows, or with one class only, every score is 0; texts
+key or a label teach nothing; several labels of a key count as toxic if any does; of
+several texts of a key the smallest teaches; repeated rows keep a row each; without labelled rows, or with one class only, every score is 0; texts
 of any length are read whole.  Only the named columns are read.
 """
 
@@ -190,7 +190,9 @@ def train(texts: DataFrame, labels: DataFrame) -> Model:
                      .agg(F.max("toxic").cast("int").alias("toxic")), "labels")
     share = min(1.0, 0.95 * SAMPLE / max(labels.count(), 1))
     chosen = labels.where(F.xxhash64("key") / F.lit(2.0 ** 64) + 0.5 < share).limit(SAMPLE)
-    sample = written(texts.join(F.broadcast(chosen), "key").select("text", "toxic").limit(2 * SAMPLE), "sample")
+    # One text a key, whatever is repeated: the sample has at most SAMPLE rows.
+    sample = written(texts.join(F.broadcast(chosen), "key").groupBy("key")
+                     .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("key"), "sample")
     lexicon = induced(sample)
     if not lexicon:
         return Model([], np.array([0.0] * 6 + [-30.0]))
