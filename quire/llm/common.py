@@ -22,9 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000    # rows of an Arrow batch: texts are long, and a worker holds a batch
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.  Clusters whose
-    executors do not see that folder ship the package with ``--py-files`` instead."""
+    """Let Python workers import this package from where the driver has it (clusters whose
+    executors do not see that folder ship the package with ``--py-files`` instead), and hand
+    them fewer rows at a time than Spark does unless told otherwise."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

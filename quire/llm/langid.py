@@ -224,8 +224,7 @@ def calibrated(scored: DataFrame) -> tuple[list[float], dict[str, float]]:
 
 
 def margin_bin(margin: Column) -> Column:
-    """Null for texts without a margin (``least`` alone would skip the null)."""
-    return F.when(margin.isNotNull(), F.least(F.floor(margin / BIN), F.lit(BINS - 1)).cast("int"))
+    return F.least(F.floor(margin / BIN), F.lit(BINS - 1)).cast("int")
 
 
 def identify(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -237,7 +236,7 @@ def identify(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "tex
                      .select("key", "lang", "learn", F.col("b.lang").alias("pred"), "b.entropy", "b.margin"), "entropies")
     chance, limits = calibrated(scored.where("learn AND lang IS NOT NULL AND entropy IS NOT NULL"))
     limit = F.coalesce(*[F.when(F.col("pred") == x, v) for x, v in sorted(limits.items())], F.lit(None).cast("double"))
-    score = F.element_at(F.array(*map(F.lit, chance)), margin_bin(F.col("margin")) + 1)
+    score = F.when(F.col("margin").isNotNull(), F.element_at(F.array(*map(F.lit, chance)), margin_bin(F.col("margin")) + 1))
     return scored.select(F.col("key").alias(key), F.col("learn").alias("learned"), F.col("pred").alias("lang_pred"),
                          F.coalesce(score, F.lit(0.0)).alias("score"),
                          F.coalesce(F.col("entropy") > limit, F.col("entropy").isNull()).alias("rejected"), "entropy")

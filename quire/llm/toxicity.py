@@ -33,8 +33,9 @@ LEAST_ODDS = 2.5      # log odds of an entry, at least
 BEGINNINGS = range(4, 9)
 LEXICONS = 12         # parts that the entries are dealt into, each a voter
 ROUNDS = 30           # EM rounds, and Newton steps of the classifier
+LEAST_VARIANCE = 0.02
 THRESHOLD = 0.7
-KNOWN = 300_000       # words whose entries a worker keeps at most
+KNOWN = 100_000       # words whose entries a worker keeps at most
 
 WORD = re.compile(r"[^\W\d_]+")
 CAPITAL = re.compile("[A-Z]")
@@ -97,6 +98,8 @@ class LabelModel:
         self.cast = np.stack([ballots == v for v in (-1, 0, 1)], 2).astype(float)  # rows, voters, outcomes
         toxic = (ballots == 1).sum(1) - (ballots == -1).sum(1)
         q = np.where(seen >= 0, np.where(seen == 1, 0.95, 0.05), 1 / (1 + np.exp(-toxic)))
+        known = seen[seen >= 0]
+        self.prior = float(np.clip(known.mean() if len(known) else q.mean(), 1e-3, 1 - 1e-3))
         self.weights = np.ones(ballots.shape[1])
         for _ in range(ROUNDS):
             self._estimate(q, ballots)
@@ -104,16 +107,16 @@ class LabelModel:
         self.q = q
 
     def _estimate(self, q: np.ndarray, ballots: np.ndarray) -> None:
-        self.prior = float(np.clip(q.mean(), 1e-4, 1 - 1e-4))
         tables, dependence = [], np.zeros((ballots.shape[1],) * 2)
         for w in (1 - q, q):
             tables.append((np.einsum("i,ijk->jk", w, self.cast) + 0.5) / (w.sum() + 1.5))
             centred = ballots - (w @ ballots) / max(w.sum(), 1e-9)
             cov = (centred * w[:, None]).T @ centred / max(w.sum(), 1e-9)
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
+            sd = np.sqrt(np.maximum(np.diag(cov), LEAST_VARIANCE))  # voters that hardly vary within a class tell little
             dependence += np.abs(cov / np.outer(sd, sd)) * w.sum() / len(q)
         self.tables = np.log(np.stack(tables))   # class, voter, outcome
         np.fill_diagonal(dependence, 0)
+        dependence[-1] = dependence[:, -1] = 0   # the known labels are no reader of the text
         self.correlations = dependence
         self.weights = 1 / (1 + np.where(dependence > 0.1, dependence, 0).sum(1))
 
