@@ -59,9 +59,10 @@ def taken_suffixes(live: DataFrame, slug_col: str = "slug", base_col: str = "bas
 
 
 def assign_slugs(rows: DataFrame, key: str = KEY, base_col: str = "base_slug",
-                 taken: DataFrame | None = None, out: str = "slug") -> DataFrame:
+                 taken: DataFrame | None = None, out: str = "slug",
+                 path: str | None = None) -> DataFrame:
     """W1 + B7 + C9: number rows per base slug in key order, offset by suffixes taken."""
-    ranked = rank_within_groups(rows, base_col, key, out="_n", start=taken)
+    ranked = rank_within_groups(rows, base_col, key, out="_n", start=taken, path=path)
     return ranked.select(*rows.columns, compose_slug(F.col(base_col), F.col("_n")).alias(out))
 
 
@@ -141,7 +142,8 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     deduped = staged if deduplicated else latest_per_key(staged, key)
     new = materialize(new_rows(deduped, live, key, admit), f"{scratch}/new")
     narrow_cols = [key, "base_slug"] + ([fk.child_col] if fk is not None else [])
-    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live))
+    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live),
+                           path=f"{scratch}/numbered")
     if fk is not None:
         slugged = fk.resolve(slugged, hot_from=new.select(fk.child_col))
     ids = assign_ids(slugged, key, max_id(live))
@@ -162,14 +164,15 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     return rows.select(*out)
 
 
-def authorship_links(refs: DataFrame, works: DataFrame, authors: DataFrame) -> DataFrame:
+def authorship_links(refs: DataFrame, works: DataFrame, authors: DataFrame,
+                     path: str | None = None) -> DataFrame:
     """B5 + G4: ``(work_id, author_id, position)`` with the minimum position per pair.
 
     The minimum is taken on the natural keys first (map-side partial aggregation,
     fewer rows into the joins); since natural keys map one-to-one to ids this equals
     grouping by ids.  Refs whose work or author is not live drop out.
     """
-    pre = materialize(refs.groupBy("work_olid", "author_olid").agg(F.min("position").alias("position")))
+    pre = materialize(refs.groupBy("work_olid", "author_olid").agg(F.min("position").alias("position")), path)
     with_work = ForeignKey("work_olid", works, "work_id").resolve(pre, hot_from=pre)
     with_both = ForeignKey("author_olid", authors, "author_id").resolve(with_work, hot_from=pre)
     return with_both.select("work_id", "author_id", "position")

@@ -27,17 +27,19 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def rank_within_groups(df: DataFrame, group: str, order: str, out: str = "rn",
-                       start: DataFrame | None = None, num_partitions: int | None = None) -> DataFrame:
+                       start: DataFrame | None = None, num_partitions: int | None = None,
+                       path: str | None = None) -> DataFrame:
     """Row number of each row within ``group`` ordered by ``order`` (1-based).
 
     ``(group, order)`` must be unique.  ``start`` is an optional ``(group, start)``
-    DataFrame whose value is added to every number of that group (W1 + B7).
+    DataFrame whose value is added to every number of that group (W1 + B7).  ``path``
+    names the folder of the numbered copy, so that a caller can remove it.
     """
     p = _partitions(df, num_partitions)
     numbered = materialize(df.repartitionByRange(p, F.col(group), F.col(order))
                            .sortWithinPartitions(group, order)
                            .withColumn("_mid", F.monotonically_increasing_id())
-                           .withColumn("_pid", F.shiftright("_mid", 33)))
+                           .withColumn("_pid", F.shiftright("_mid", 33)), path)
     pieces = numbered.groupBy("_pid", group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

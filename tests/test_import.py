@@ -209,3 +209,18 @@ def test_store_absent_table_and_uncommitted_version(spark):
     empty.write.parquet(f"{root}/works/v=1")
     assert store.version("works") is None
     assert store.write("works", empty) == 2 and store.version("works") == 2
+
+
+def test_import_leaves_no_scratch_and_counts_links(spark):
+    import os
+
+    from quire.session import checkpoint_root
+    root = os.path.join(checkpoint_root(spark), "quire")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    d, store = _dir("dumps"), _dir("store")
+    _catalogue(d)
+    first = run_import(spark, d, store, run_ts=T1)
+    again = run_import(spark, d, store, run_ts=T2)
+    assert first.merges["authorships"]["updated"] == 0 and first.merges["authorships"]["inserted"] > 0
+    assert again.merges["authorships"] == {"updated": first.merges["authorships"]["inserted"], "inserted": 0}
+    assert set(os.listdir(root)) - before == set()
