@@ -17,6 +17,8 @@ that the operator adds must not exist yet.  Everything is DataFrame operations.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,36 +26,80 @@ from quire.llm.common import sized, table, written
 
 KEY = "quire"       # the secret; a parameter of every operator
 ROUNDS = 50         # times that colliding surrogates are made anew, at most
-LETTERS = r"\p{IsLatin}\p{IsCyrillic}\p{IsGreek}"
+LETTERS = r"\p{Lu}\p{Ll}\p{Lt}\p{Lm}\p{M}"      # of scripts with upper and lower case
 
 # Titles by the gender that they tell, name parts by script and gender.
-TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Госпожа", "Κυρία"],
-          "m": ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"],
-          "n": ["Dr", "Prof"]}
+TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Madam", "Fräulein",
+               "Señorita", "Srta", "Dra", "Госпожа", "Г-жа", "Κυρία"],
+          "m": ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Mister", "Господин", "Г-н", "Κύριος"],
+          "n": ["Dr", "Prof", "Doctor", "Doktor", "Professor"]}
 STARTS = {"latin": ["Al", "Bel", "Cor", "Dan", "El", "Fer", "Gal", "Hal", "Il", "Jon", "Kar", "Lor", "Mar", "Nor", "Os",
                     "Per", "Quin", "Ros", "Sal", "Tor", "Ul", "Ver", "Wil", "Yor", "Zan"],
           "cyrillic": ["Ал", "Бел", "Вер", "Гал", "Дар", "Ел", "Жан", "Зор", "Ил", "Кир", "Лар", "Мар", "Нор", "Ол", "Пав",
                        "Рад", "Сав", "Тим", "Ул", "Фед"],
           "greek": ["Αλ", "Βασ", "Γαλ", "Δαρ", "Ελ", "Ζην", "Ηλ", "Θαν", "Ιλ", "Καλ", "Λαμ", "Μαρ", "Νικ", "Ορ", "Παν",
-                    "Ροδ", "Σαβ", "Τιμ", "Φιλ", "Χαρ"]}
+                    "Ροδ", "Σαβ", "Τιμ", "Φιλ", "Χαρ"],
+          "han": list("王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗"), "kana": list("アイウエオカキクケコサシスセソタチツテト"),
+          "hangul": list("김이박최정강조윤장임한오서신권황안송류전"), "arabic": list("بتجحدرسصطعفقكلمنهوي"),
+          "hebrew": list("אבגדהוזחטיכלמנסעפצקרשת")}
 MIDDLES = {"latin": ["a", "e", "i", "o", "u", "ani", "eri", "ima", "olo", "uve", "ari", "ene", "ito", "oda", "ula", "ami"],
            "cyrillic": ["а", "е", "и", "о", "у", "ани", "ери", "има", "оло", "уве", "ари", "ене", "ито", "ода", "ула", "ами"],
-           "greek": ["α", "ε", "ι", "ο", "υ", "ανι", "ερι", "ιμα", "ολο", "υβε", "αρι", "ενε", "ιτο", "οδα", "υλα", "αμι"]}
+           "greek": ["α", "ε", "ι", "ο", "υ", "ανι", "ερι", "ιμα", "ολο", "υβε", "αρι", "ενε", "ιτο", "οδα", "υλα", "αμι"],
+           "han": list("文明建国志永春海东山石云江平"), "kana": list("ナニヌネノハヒフヘホマミムメモ"),
+           "hangul": list("가나다라마바사아자하도로모보"), "arabic": ["ا", "و", "ي", "ار", "ون", "يم", "ال", "اد"],
+           "hebrew": ["א", "ו", "י", "אר", "ון", "ים", "אל", "עד"]}
 ENDS = {"latin": {"f": ["na", "ra", "lia", "da", "sa"], "m": ["n", "r", "rd", "s", "ld"], "n": ["l", "n", "t", "m", "k"]},
         "cyrillic": {"f": ["на", "ра", "лия", "да", "са"], "m": ["н", "р", "рд", "с", "лд"], "n": ["л", "н", "т", "м", "к"]},
-        "greek": {"f": ["να", "ρα", "λια", "δα", "σα"], "m": ["νος", "ρος", "δης", "σος", "λης"], "n": ["ν", "ρ", "λι", "τι", "κι"]}}
+        "greek": {"f": ["να", "ρα", "λια", "δα", "σα"], "m": ["νος", "ρος", "δης", "σος", "λης"], "n": ["ν", "ρ", "λι", "τι", "κι"]},
+        "han": {"f": list("芳娜丽英华"), "m": list("强军伟刚勇"), "n": list("宁安然乐清")},
+        "kana": {"f": list("ヤユヨラリ"), "m": list("ルレロワン"), "n": list("ガギグゲゴ")},
+        "hangul": {"f": list("미희숙영자"), "m": list("철호석준식"), "n": list("진현수민우")},
+        "arabic": {"f": ["ة", "اء", "ية", "ى", "ات"], "m": ["ن", "ر", "د", "س", "ل"], "n": ["م", "ب", "ت", "ف", "ق"]},
+        "hebrew": {"f": ["ה", "ית", "לה", "נה", "רה"], "m": ["ן", "ר", "ד", "ם", "ל"], "n": ["ב", "ת", "ק", "ש", "ט"]}}
+#: The script of a name by its letters, in this order; names in any other get Latin surrogates.
+SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "kana": r"^[\p{IsHiragana}\p{IsKatakana}ー]", "han": r"\p{IsHan}",
+           "hangul": r"\p{IsHangul}", "arabic": r"\p{IsArabic}", "hebrew": r"\p{IsHebrew}"}
 
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[{LETTERS}]+(?:[ -]\p{{Lu}}[{LETTERS}]+)?"
+_TITLED = rf"(?:(?:{_TITLE})\.?[ \u00a0])+"
+_WORD = rf"\p{{Lu}}[{LETTERS}]*(?:['’]\p{{Lu}}[{LETTERS}]+|[{LETTERS}])"     # O'Brien, and Berg of Berg's
+_INITIALS = r"(?:(?:\p{Lu}\.){1,4}[ \u00a0]?|\p{Lu}[ \u00a0](?=\p{Lu}))"
+_PARTICLE = r"(?:(?:von|van|de|der|den|del|della|di|da|dos|du|la|le|zu|zur|ten|ter|bin|ibn|al|el)[ \u00a0]|al-|el-|[dl]['’])"
+_PART = rf"{_INITIALS}{{0,3}}{_PARTICLE}{{0,2}}{_WORD}"
+#: Scripts without case: so many characters where words are not spaced, otherwise one word.
+_CASELESS = (r"(?:\p{IsHan}{1,4}|\p{IsHangul}{2,4}|[\p{IsHiragana}\p{IsKatakana}ー]{1,8}"
+             r"|(?:(?![\p{IsHan}\p{IsHangul}\p{IsHiragana}\p{IsKatakana}])\p{Lo}\p{M}*){2,})")
+NAME = (rf"(?<![\p{{L}}\p{{N}}]){_TITLED}"
+        rf"(?:{_PART}(?:[ \u00a0-]{_PART}){{0,3}}|{_CASELESS}|(?:\p{{Lu}}\.){{1,4}})")
+#: What marks the keys of well-known services; their other characters are exchanged.
+_MARK = (r"(?:gh[pousr]_|github_pat_|glpat-|hf_|npm_|xox[abeprs]-|AIza|ASIA|eyJ|sk-(?:[a-z]{2,8}-){0,2}"
+         r"|[rsp]k_(?:live|test)_)")
+KEYS = (r"(?:(?:gh[pousr]_|hf_|npm_|[rsp]k_(?:live|test)_)[A-Za-z0-9]{16,}+|github_pat_[A-Za-z0-9_]{20,}+|glpat-[A-Za-z0-9_-]{16,}+"
+        r"|xox[abeprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|ASIA[0-9A-Z]{16}|sk-(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{16,}+"
+        r"|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)")
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or some groups and ``::`` with a digit anywhere (without one it may be program text).
+IPV6 = (rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}"
+        rf"|(?=[A-Fa-f:]*[0-9]){_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])")
+_PLAIN = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+_GAP = r"(?:[ ./-]|[ .-]?\(|\)[ .-]?)?"
+#: +E.164, 00 before a country's number, and national numbers after 0 in two groups or more (dates are not).
+PHONE = (rf"(?<![\p{{N}}+])(?:{_PLAIN}|\+[1-9](?:{_GAP}[0-9]){{7,14}}(?![0-9])"
+         rf"|(?<![\p{{L}}.,:/-])(?:00[1-9](?:{_GAP}[0-9]){{8,13}}"
+         r"|(?![0-3]?[0-9][./-][01]?[0-9][./-][0-9]{4})(?=[0-9]{2,5}[ ./-])0[1-9](?:[ ./-]?[0-9]){7,10}"
+         r"|\(0[0-9]{1,4}\) ?[0-9](?:[ ./-]?[0-9]){4,9})(?![0-9]))")
 #: Patterns by kind, tried in this order at every place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
+    "key": rf"(?<![\p{{L}}\p{{N}}]){KEYS}(?![\p{{L}}\p{{N}}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
+    "ipv6": IPV6,
     "ssn": r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
-    "card": r"(?<![\p{N}+])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])",
+    "card": r"(?<![\p{N}+])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5}"
+            r"|3[0689][0-9]{2}[ -][0-9]{6}[ -][0-9]{4})(?![0-9])",
+    "phone": PHONE,
     "name": NAME,
 }
 ANY = "|".join(PATTERNS.values())
@@ -116,15 +162,19 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
         c("valid"), F.concat(F.left("body", F.length("body") - 1), ((10 - c("luhn") % 10) % 10).cast("string")))
         .otherwise(c("number")))
     octet = lambda i: _hash(c("seed"), F.lit(i), F.lit(256)).cast("string")
-    others = seeded.where(~c("kind").isin("card", "phone", "ssn") & ~c("kind").startswith("name-")).withColumn(
+    others = seeded.where(~c("kind").isin("card", "phone", "ssn") & ~c("kind").startswith("name-"))
+    others = others.withColumn("mark", F.regexp_extract("value", f"^{_MARK}", 0)).withColumn(
         "made", F.when(c("kind") == "email", F.concat(
             _shaped(F.substring_index("value", "@", 1), c("seed")), F.lit("@"),
             _shaped(F.regexp_replace("domain", r"\.[^.]*$", ""), c("domain_seed")), F.lit(".example")))
         .when(c("value").startswith("akia"), F.concat(F.lit("akia"), _shaped(F.substr("value", F.lit(5)), c("seed"))))
         .when(c("kind") == "secret", _each(c("value"), lambda x, i: _pick(c("seed"), i, "0123456789abcdef")))
+        .when(c("kind") == "key", F.concat(c("mark"), _shaped(F.substr("value", F.length("mark") + 1), c("seed"))))
+        .when(c("kind") == "ipv6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[
+            F.lower(F.hex(_hash(c("seed"), F.lit(i), F.lit(1 << 16)))) for i in range(6)])))
         .when(c("kind") == "iban", F.concat(F.left("value", F.lit(2)), _shaped(F.substr("value", F.lit(3)), c("seed"))))
         .otherwise(F.concat_ws(".", (_hash(c("seed"), F.lit(0), F.lit(15)) + 240).cast("string"), octet(1), octet(2), octet(3))))
-    script = F.when(c("value").rlike(r"\p{IsCyrillic}"), "cyrillic").when(c("value").rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    script = F.coalesce(*[F.when(c("value").rlike(p), k) for k, p in SCRIPTS.items()], F.lit("latin"))
     names = seeded.where(c("kind").startswith("name-")).withColumn("script", script).withColumns({
         "starts": _by(c("script"), STARTS), "middles": _by(c("script"), MIDDLES),
         "ends": _by(F.concat_ws("-", "script", F.substr("kind", F.lit(6))),
@@ -135,18 +185,36 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
     return numbers.select(*kept, "made").unionByName(others.select(*kept, "made")).unionByName(names.select(*kept, "made"))
 
 
-def tokens_of(mentions: DataFrame) -> DataFrame:
-    """(mention, at, token, kind, value): the entities in distinct mentions; what stands
-    between the words of a name has no kind."""
+def other_initials(token: Column, key: str) -> Column:
+    """Each initial moved on by one keyed number of letters: equal ones stay equal, others apart."""
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜÅØ"]
+    step = int(hashlib.sha256(f"{key}\x1finitial".encode()).hexdigest(), 16)
+    moved = [a[k:] + a[:k] for a in alphabets for k in [step % (len(a) - 1) + 1]]
+    return F.translate(token, "".join(alphabets), "".join(moved))
+
+
+def tokens_of(mentions: DataFrame, key: str) -> DataFrame:
+    """(mention, at, token, kind, value): the entities in distinct mentions; titles, initials
+    (exchanged already), particles and what stands between have no kind."""
     c = F.col
     rows = mentions.withColumn("kind", kind_of(c("mention")))
-    gender = F.coalesce(*[F.when(c("mention").rlike(rf"^(?:{'|'.join(t)})\.? "), f"name-{g}") for g, t in TITLES.items()])
-    names = rows.where("kind = 'name'").withColumn("kind", gender).select("mention", "kind", F.posexplode(
-        F.regexp_extract_all("mention", F.lit("[^ -]+|[ -]"), F.lit(0))).alias("at", "token"))
-    named = (c("at") > 0) & c("token").rlike(r"^\p{Lu}")
-    names = names.select("mention", "at", "token", F.when(named, c("kind")).alias("kind"), F.when(named, c("token")).alias("value"))
+    gender = F.coalesce(*[F.when(c("mention").rlike(rf"^{_TITLED}") & c("mention").rlike(rf"^(?:.*[ \u00a0])?(?:{'|'.join(TITLES[g])})\.?[ \u00a0]"),
+                                 f"name-{g}") for g in TITLES])
+    titles = F.regexp_extract("mention", f"^{_TITLED}", 0)
+    names = rows.where("kind = 'name'").select("mention", gender.alias("kind"), F.posexplode(F.concat(F.array(titles), F.regexp_extract_all(
+        F.substr("mention", F.length(titles) + 1), F.lit("(?:al|el)-|[dl]['’]|(?:\\p{Lu}\\.)+|[^ \u00a0-]+|[ \u00a0-]"), F.lit(0)))).alias("at", "token"))
+    initial = c("token").rlike(r"^(?:\p{Lu}|(?:\p{Lu}\.)+)$")
+    named = (c("at") > 0) & c("token").rlike(r"^[\p{Lu}\p{Lo}]") & ~initial
+    names = names.select("mention", "at", F.when((c("at") > 0) & initial, other_initials(c("token"), key)).otherwise(c("token")).alias("token"),
+                         F.when(named, c("kind")).alias("kind"), F.when(named, c("token")).alias("value"))
+    low = F.lower("mention")
+    part = lambda at: F.filter(F.split(F.substring_index(low, "::", at), ":"), lambda x: x != "")
+    groups = F.when(F.contains(low, F.lit("::")), F.concat(
+        part(1), F.array_repeat(F.lit("0"), 8 - F.size(part(1)) - F.size(part(-1))), part(-1))).otherwise(F.split(low, ":"))
+    address = F.array_join(F.transform(groups, lambda x: F.regexp_replace(x, "^0+(?=.)", "")), ":")
     digits = F.regexp_replace("mention", "[^0-9]", "")
-    value = F.when(c("kind").isin("card", "phone", "ssn"), digits).when(c("kind") == "iban", F.replace(c("mention"), F.lit(" "), F.lit(""))) \
+    value = F.when(c("kind").isin("card", "phone", "ssn"), digits).when(c("kind") == "ipv6", address) \
+        .when(c("kind") == "iban", F.replace(c("mention"), F.lit(" "), F.lit(""))) \
         .when(c("kind").isin("email", "secret"), F.lower("mention")).otherwise(c("mention"))
     others = rows.where("kind <> 'name'").select("mention", F.lit(0).alias("at"), c("mention").alias("token"), "kind",
                                                  value.alias("value"))
@@ -160,7 +228,7 @@ def rendered() -> Column:
         c("made"), F.length(F.regexp_replace(F.left(c("token"), i), f"[^{keep}]", "")), F.lit(1))).otherwise(x))
     upper = (c("token") == F.upper("token")) & c("token").rlike("[A-Z]")
     return F.when(c("made").isNull(), c("token")).when(c("kind").isin("card", "phone", "ssn"), poured("0-9")) \
-        .when(c("kind") == "iban", poured("A-Z0-9")).when(c("kind").isin("email", "secret") & upper, F.upper("made")) \
+        .when(c("kind") == "iban", poured("A-Z0-9")).when(c("kind").isin("email", "secret", "ipv6") & upper, F.upper("made")) \
         .otherwise(c("made"))
 
 
@@ -191,7 +259,7 @@ def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None
     digest = F.sha2(F.col(text).cast("binary"), 256)
     places = written(df.select(found.alias("mentions"), digest.alias("d")).where(F.size("mentions") > 0)
                      .select("d", F.explode("mentions").alias("mention")).distinct(), "mentions")
-    tokens = written(tokens_of(places.select("mention").distinct()), "tokens")
+    tokens = written(tokens_of(places.select("mention").distinct(), key), "tokens")
     made = surrogates(tokens.where("kind IS NOT NULL").select("kind", "value").distinct(), key).select(
         F.col("kind").alias("k"), F.col("value").alias("v"), "made")
     new = tokens.join(made, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v")), "left") \
@@ -203,7 +271,7 @@ def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None
         .drop("__d", "__key").withColumn("__found", F.when(F.col("__new").isNotNull(), found)) \
         .withColumn("__gaps", F.when(F.col("__new").isNotNull(), F.split(F.col(text), ANY, -1)))
     joined = F.array_join(F.transform("__gaps", lambda g, i: F.concat(
-        g, F.coalesce(F.element_at(F.col("__new"), F.get("__found", i)), F.lit("")))), "")
+        g, F.coalesce(F.element_at(F.col("__new"), F.get("__found", i)), F.get("__found", i), F.lit("")))), "")
     if count:
         rows = rows.withColumn(count, F.coalesce(F.size("__found"), F.lit(0)).cast("long"))
     return rows.withColumn(text, F.when(F.col("__new").isNotNull(), joined).otherwise(F.col(text))).drop("__found", "__gaps", "__new")
