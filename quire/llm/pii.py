@@ -4,10 +4,12 @@ Personal data are found by patterns; every entity is replaced by a surrogate tha
 only on a secret key and the entity, so one entity reads the same everywhere (also when it
 is written in another format), and that keeps its kind: e-mail addresses keep their shape
 and share surrogate domains, numbers keep their grouping, card numbers their check digit,
-secrets their length and case, names their title's gender and their script.
+secrets their length and case, names their script and the gender that the titles tell.  A name is
+keyed by itself, whatever its titles, and is also replaced without one in a text that has it with one.
 
-Surrogates are checked over all entities of the table: where two entities would share one,
-or one equals a real entity, a counter is raised until all differ.
+Surrogates are checked over all entities of the table, names of all genders together and also
+domains: where two would share one, or one equals a real entity, a counter is raised until all
+differ.  (Domains and genders so depend on the other entities where those collide or disagree.)
 
 Defined cases: a null text stays null; empty texts and texts without personal data stay as
 they are; texts of any length are searched whole; copies get equal replacements; repeated
@@ -147,13 +149,17 @@ def _by(column: Column, values: dict) -> Column:
     return F.coalesce(*[F.when(column == k, F.array(*map(F.lit, v))) for k, v in values.items()])
 
 
+def family(kind: Column) -> Column:
+    """What entities are told apart within: names of all genders are one family."""
+    return F.regexp_replace(kind, "-.*", "")
+
+
 def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
-    """Add ``made``, the n-th surrogate of rows (kind, value, n), in steps of a few columns."""
+    """Add ``made``, the n-th surrogate of rows (kind, value, domain, n), in steps of a few columns;
+    ``domain`` is the surrogate of an e-mail address's domain."""
     c, kept = F.col, rows.columns
     seeded = rows.withColumns({
-        "seed": F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "value", c("n").cast("string")).cast("binary"), 256),
-        "domain": F.substring_index("value", "@", -1)})
-    seeded = seeded.withColumn("domain_seed", F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), "domain").cast("binary"), 256))
+        "seed": F.sha2(F.concat_ws("\x1f", F.lit(key), family(c("kind")), "value", c("n").cast("string")).cast("binary"), 256)})
     numbers = seeded.where(c("kind").isin("card", "phone", "ssn")).withColumn("number", F.concat(
         F.when(c("kind") == "ssn", "9").otherwise(F.left("value", F.lit(1))), _shaped(F.substr("value", F.lit(2)), c("seed"))))
     numbers = numbers.withColumn("body", F.concat(F.left("number", F.length("number") - 1), F.lit("0"))) \
@@ -165,8 +171,9 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
     others = seeded.where(~c("kind").isin("card", "phone", "ssn") & ~c("kind").startswith("name-"))
     others = others.withColumn("mark", F.regexp_extract("value", f"^{_MARK}", 0)).withColumn(
         "made", F.when(c("kind") == "email", F.concat(
-            _shaped(F.substring_index("value", "@", 1), c("seed")), F.lit("@"),
-            _shaped(F.regexp_replace("domain", r"\.[^.]*$", ""), c("domain_seed")), F.lit(".example")))
+            _shaped(F.substring_index("value", "@", 1), c("seed")), F.lit("@"), c("domain")))
+        .when(c("kind") == "domain", F.concat(
+            _shaped(F.regexp_replace("value", r"\.[^.]*$", ""), c("seed")), F.lit(".example")))
         .when(c("value").startswith("akia"), F.concat(F.lit("akia"), _shaped(F.substr("value", F.lit(5)), c("seed"))))
         .when(c("kind") == "secret", _each(c("value"), lambda x, i: _pick(c("seed"), i, "0123456789abcdef")))
         .when(c("kind") == "key", F.concat(c("mark"), _shaped(F.substr("value", F.length("mark") + 1), c("seed"))))
@@ -232,49 +239,86 @@ def rendered() -> Column:
         .otherwise(c("made"))
 
 
+def bare_names(names: Column) -> Column:
+    """The pattern of an array of names (letters, marks and apostrophes only; longer ones before
+    their beginnings): whole words, but anywhere in scripts that do not space words."""
+    unspaced = r"^[\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]"
+    spaced = F.array_join(F.filter(names, lambda x: ~x.rlike(unspaced)), "|")
+    other = F.array_join(F.filter(names, lambda x: x.rlike(unspaced)), "|")
+    words = F.concat(F.lit(r"(?<![\p{L}\p{M}\p{N}])(?:"), spaced, F.lit(r")(?![\p{L}\p{M}\p{N}@])"))
+    return F.concat_ws("|", F.when(spaced != "", words), F.when(other != "", other))
+
+
 def surrogates(found: DataFrame, key: str) -> DataFrame:
-    """(kind, value, n, made) of distinct entities (kind, value): no two entities of a kind get
-    the same surrogate, and none gets a real entity."""
+    """(kind, value, n, made) of entities (kind, value): no two entities of a family get the same
+    surrogate, and none gets a real entity; two domains of e-mail addresses never share one
+    either.  A name has one surrogate whatever its titles; its gender is theirs where those
+    that tell one agree, and neutral otherwise."""
+    c = F.col
+    name = found.where(c("kind").startswith("name-")).groupBy("value").agg(
+        F.max((c("kind") == "name-f").cast("int")).alias("f"), F.max((c("kind") == "name-m").cast("int")).alias("m"))
+    name = name.select(F.when(c("f") > c("m"), "name-f").when(c("m") > c("f"), "name-m").otherwise("name-n").alias("kind"), "value")
+    found = written(found.where(~c("kind").startswith("name-")).select("kind", "value").distinct().unionByName(name), "entities")
+    domain = F.substring_index("value", "@", -1)
+    domains = distinct_surrogates(found.where("kind = 'email'").select(F.lit("domain").alias("kind"), domain.alias("value"))
+                                  .distinct().withColumn("domain", F.lit(None).cast("string")), key)
+    domains = domains.select(c("value").alias("real"), c("made").alias("domain"))
+    found = found.withColumn("real", F.when(c("kind") == "email", domain))
+    found = found.where("real IS NULL").withColumn("domain", F.lit(None).cast("string")).unionByName(
+        found.where("real IS NOT NULL").join(domains, "real")).select("kind", "value", "domain")
+    return distinct_surrogates(written(found, "entities"), key).select("kind", "value", "n", "made")
+
+
+def distinct_surrogates(found: DataFrame, key: str) -> DataFrame:
+    """(kind, value, domain, n, made) of distinct entities (kind, value, domain)."""
     rows = written(with_surrogate(found.withColumn("n", F.lit(0)), key), "surrogates")
-    real = found.select(F.col("kind").alias("k"), F.col("value").alias("m"), F.lit(None).cast("string").alias("keeper"))
+    of = family(F.col("kind"))
+    real = found.select(of.alias("k"), F.col("value").alias("m"), F.lit(None).cast("string").alias("keeper"))
     for _ in range(ROUNDS):
         # Of entities with one surrogate the one with the fewest tries, then the smallest, keeps it.
-        first = rows.groupBy("kind", "made").agg(F.min(F.struct("n", "value")).alias("first"), F.count(F.lit(1)).alias("c")) \
-            .where("c > 1").select(F.col("kind").alias("k"), F.col("made").alias("m"), F.col("first.value").alias("keeper"))
-        bad = rows.join(first.unionByName(real), (F.col("kind") == F.col("k")) & (F.col("made") == F.col("m"))) \
+        first = rows.groupBy(of.alias("k"), "made").agg(F.min(F.struct("n", "value")).alias("first"), F.count(F.lit(1)).alias("c")) \
+            .where("c > 1").select("k", F.col("made").alias("m"), F.col("first.value").alias("keeper"))
+        bad = rows.join(first.unionByName(real), (of == F.col("k")) & (F.col("made") == F.col("m"))) \
             .where("keeper IS NULL OR keeper <> value").select("kind", "value").distinct()
         bad = written(bad, "colliding")
         if bad.isEmpty():
             return rows
-        again = with_surrogate(rows.join(bad, ["kind", "value"], "left_semi").select("kind", "value", (F.col("n") + 1).alias("n")), key)
+        again = with_surrogate(rows.join(bad, ["kind", "value"], "left_semi").select(*found.columns, (F.col("n") + 1).alias("n")), key)
         rows = written(rows.join(bad, ["kind", "value"], "left_anti").unionByName(again), "surrogates")
     raise ValueError("there are not enough surrogates for all entities")
 
 
 def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None = None) -> DataFrame:
     """Replace the personal data in a text column; ``count`` names a column for the number of
-    mentions.  Rows of mentions, not texts, are shuffled; the replacements of a text reach it
-    by its digest."""
-    found = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
-    digest = F.sha2(F.col(text).cast("binary"), 256)
-    places = written(df.select(found.alias("mentions"), digest.alias("d")).where(F.size("mentions") > 0)
-                     .select("d", F.explode("mentions").alias("mention")).distinct(), "mentions")
+    mentions.  Names found after a title are also replaced where the same text has them without.
+    Rows of mentions, not texts, are shuffled; the replacements of a text reach it by its digest."""
+    c = F.col
+    digest = F.sha2(c(text).cast("binary"), 256)
+    places = written(df.select(F.regexp_extract_all(c(text), F.lit(ANY), F.lit(0)).alias("mentions"), digest.alias("d"))
+                     .where(F.size("mentions") > 0).select("d", F.explode("mentions").alias("mention")).distinct(), "mentions")
     tokens = written(tokens_of(places.select("mention").distinct(), key), "tokens")
     made = surrogates(tokens.where("kind IS NOT NULL").select("kind", "value").distinct(), key).select(
-        F.col("kind").alias("k"), F.col("value").alias("v"), "made")
-    new = tokens.join(made, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v")), "left") \
-        .withColumn("new", rendered()).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("parts")) \
-        .select(F.col("mention").alias("m"), F.array_join(F.col("parts.new"), "").alias("new"))
-    maps = places.join(new, F.col("mention") == F.col("m")).groupBy(F.col("d").alias("__key")).agg(
-        F.map_from_entries(F.collect_set(F.struct("mention", "new"))).alias("__new"))
-    rows = df.withColumn("__d", digest).join(sized(written(maps, "replacements")), F.col("__d") == F.col("__key"), "left") \
-        .drop("__d", "__key").withColumn("__found", F.when(F.col("__new").isNotNull(), found)) \
-        .withColumn("__gaps", F.when(F.col("__new").isNotNull(), F.split(F.col(text), ANY, -1)))
+        family(c("kind")).alias("k"), c("value").alias("v"), "made")
+    tokens = written(tokens.join(made, (family(c("kind")) == c("k")) & (c("value") == c("v")), "left")
+                     .withColumn("new", rendered()), "rendered")
+    new = tokens.groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("parts")) \
+        .select(c("mention").alias("m"), c("mention").alias("old"), F.array_join(c("parts.new"), "").alias("new"), F.lit(False).alias("name"))
+    names = tokens.where("k = 'name'").where(F.length("token") > 1).select(
+        c("mention").alias("m"), c("token").alias("old"), "new", F.lit(True).alias("name")).distinct()
+    maps = places.join(new.unionByName(names), c("mention") == c("m")).groupBy(c("d").alias("__key")).agg(
+        F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias("__new"),
+        F.sort_array(F.collect_set(F.when(c("name"), c("old"))), asc=False).alias("__names"))
+    own = F.when(F.size("__names") > 0, F.concat(F.lit(f"{ANY}|"), bare_names(c("__names")))).otherwise(ANY)
+    rows = df.withColumn("__d", digest).join(sized(written(maps, "replacements")), c("__d") == c("__key"), "left") \
+        .drop("__d", "__key").withColumn("__any", own) \
+        .withColumn("__found", F.when(c("__new").isNotNull(), F.regexp_extract_all(c(text), c("__any"), F.lit(0)))) \
+        .withColumn("__gaps", F.when(c("__new").isNotNull(), F.split(c(text), c("__any"), -1)))
     joined = F.array_join(F.transform("__gaps", lambda g, i: F.concat(
-        g, F.coalesce(F.element_at(F.col("__new"), F.get("__found", i)), F.get("__found", i), F.lit("")))), "")
+        g, F.coalesce(F.element_at(c("__new"), F.get("__found", i)), F.get("__found", i), F.lit("")))), "")
     if count:
         rows = rows.withColumn(count, F.coalesce(F.size("__found"), F.lit(0)).cast("long"))
-    return rows.withColumn(text, F.when(F.col("__new").isNotNull(), joined).otherwise(F.col(text))).drop("__found", "__gaps", "__new")
+    return rows.withColumn(text, F.when(c("__new").isNotNull(), joined).otherwise(c(text))) \
+        .drop("__found", "__gaps", "__new", "__names", "__any")
 
 
 def op3_surrogates(spark, sf_dir: str) -> DataFrame:

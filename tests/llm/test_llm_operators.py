@@ -284,3 +284,30 @@ def test_surrogates_for_names_numbers_and_keys_of_many_forms(spark):
         assert not [x for x in gone.split() if x in new], (text, new)
         assert (new.split()[0], new.split()[-1]) == (text.split()[0], text.split()[-1])
     assert got[len(wide):] == plain
+
+
+def test_surrogates_of_a_name_do_not_depend_on_its_title(spark):
+    texts_ = ["Dr Berg met Mr Berg; later Berg wrote, Berg's Bergen and Berg@mail.org", "Mrs Anna Berg came. Anna Berg, Anna",
+              "Berg is a mountain", "Herr 田中 kam, 田中さん"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)], "doc_id long, text string")
+    got = [(r.text, r.n) for r in pii.replace(df, count="n").orderBy("doc_id").collect()]
+    berg = got[0][0].split()[1]
+    assert re.fullmatch(rf"Dr {berg} met Mr {berg}; later {berg} wrote, {berg}'s Bergen and \w+@\w+\.example", got[0][0]) and got[0][1] == 5
+    anna = got[1][0].split()[1]
+    assert got[1] == (f"Mrs {anna} {berg} came. {anna} {berg}, {anna}", 4) and len({anna, berg, "Anna", "Berg"}) == 4
+    assert got[2] == (texts_[2], 0)
+    assert "田中" not in got[3][0] and got[3][0].split()[1].rstrip(",") + "さん" == got[3][0].split()[-1]
+
+
+def test_surrogates_differ_over_titles_and_domains(spark):
+    values = [("name-" + g, f"Name{i}") for i in range(2000) for g in "fmn"[i % 3]] + [("name-m", "Name0")]
+    values += [("email", f"joe@{a}{b}.{t}") for a in "abcdefghijklm" for b in "nopqrstuvwxyz" for t in ("com", "org")]
+    # real names that are surrogates of others
+    found = spark.createDataFrame(values, "kind string, value string")
+    first = {r.value: r.made for r in pii.surrogates(found, "k").collect()}
+    taken = [("name-n", first["Name3"]), ("name-f", first["Name4"])]
+    made = pii.surrogates(found.unionByName(spark.createDataFrame(taken, found.schema)), "k").collect()
+    names = {r.value: r.made for r in made if r.kind != "email"}
+    assert len(names) == 2002 == len(set(names.values())) and not set(names) & set(names.values())
+    domains = {r.value: r.made.split("@")[1] for r in made if r.kind == "email"}
+    assert len(domains) == 338 == len(set(domains.values()))
