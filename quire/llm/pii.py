@@ -9,7 +9,8 @@ keyed by itself, whatever its titles, and is also replaced without one in a text
 
 Surrogates are checked over all entities of the table, names of all genders together and also
 domains: where two would share one, or one equals a real entity, a counter is raised until all
-differ.  (Domains and genders so depend on the other entities where those collide or disagree.)
+differ.  Names, e-mail addresses and domains get longer with the counter, so their surrogates never
+run out; those of numbers keep their length, and only their first digits are let go.  (Domains and genders so depend on the other entities where those collide or disagree.)
 
 Defined cases: a null text stays null; empty texts and texts without personal data stay as
 they are; texts of any length are searched whole; copies get equal replacements; repeated
@@ -28,6 +29,7 @@ from quire.llm.common import sized, table, written
 
 KEY = "quire"       # the secret; a parameter of every operator
 ROUNDS = 50         # times that colliding surrogates are made anew, at most
+LONGER = 3          # after so many times each, a surrogate gets one more character or syllable
 LETTERS = r"\p{Lu}\p{Ll}\p{Lt}\p{Lm}\p{M}"      # of scripts with upper and lower case
 
 # Titles by the gender that they tell, name parts by script and gender.
@@ -161,26 +163,30 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
     seeded = rows.withColumns({
         "seed": F.sha2(F.concat_ws("\x1f", F.lit(key), family(c("kind")), "value", c("n").cast("string")).cast("binary"), 256)})
     numbers = seeded.where(c("kind").isin("card", "phone", "ssn")).withColumn("number", F.concat(
-        F.when(c("kind") == "ssn", "9").otherwise(F.left("value", F.lit(1))), _shaped(F.substr("value", F.lit(2)), c("seed"))))
+        F.when(c("n") >= LONGER, _pick(c("seed"), F.lit(0), "123456789")).when(c("kind") == "ssn", "9")
+        .otherwise(F.left("value", F.lit(1))), _shaped(F.substr("value", F.lit(2)), c("seed"))))
     numbers = numbers.withColumn("body", F.concat(F.left("number", F.length("number") - 1), F.lit("0"))) \
         .withColumns({"luhn": _luhn(c("body")), "valid": (c("kind") == "card") & (_luhn(c("value")) % 10 == 0)})
     numbers = numbers.withColumn("made", F.when(
         c("valid"), F.concat(F.left("body", F.length("body") - 1), ((10 - c("luhn") % 10) % 10).cast("string")))
         .otherwise(c("number")))
+    times = F.floor(c("n") / LONGER).cast("int")
+    longer = lambda one: F.when(times > 0, F.array_join(F.transform(F.sequence(F.lit(1), times), one), "")).otherwise("")
+    more = longer(lambda i: _pick(c("seed"), -i, "abcdefghijklmnopqrstuvwxyz"))
     octet = lambda i: _hash(c("seed"), F.lit(i), F.lit(256)).cast("string")
     others = seeded.where(~c("kind").isin("card", "phone", "ssn") & ~c("kind").startswith("name-"))
     others = others.withColumn("mark", F.regexp_extract("value", f"^{_MARK}", 0)).withColumn(
         "made", F.when(c("kind") == "email", F.concat(
-            _shaped(F.substring_index("value", "@", 1), c("seed")), F.lit("@"), c("domain")))
+            _shaped(F.substring_index("value", "@", 1), c("seed")), more, F.lit("@"), c("domain")))
         .when(c("kind") == "domain", F.concat(
-            _shaped(F.regexp_replace("value", r"\.[^.]*$", ""), c("seed")), F.lit(".example")))
+            _shaped(F.regexp_replace("value", r"\.[^.]*$", ""), c("seed")), more, F.lit(".example")))
         .when(c("value").startswith("akia"), F.concat(F.lit("akia"), _shaped(F.substr("value", F.lit(5)), c("seed"))))
         .when(c("kind") == "secret", _each(c("value"), lambda x, i: _pick(c("seed"), i, "0123456789abcdef")))
         .when(c("kind") == "key", F.concat(c("mark"), _shaped(F.substr("value", F.length("mark") + 1), c("seed"))))
         .when(c("kind") == "ipv6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[
             F.lower(F.hex(_hash(c("seed"), F.lit(i), F.lit(1 << 16)))) for i in range(6)])))
         .when(c("kind") == "iban", F.concat(F.left("value", F.lit(2)), _shaped(F.substr("value", F.lit(3)), c("seed"))))
-        .otherwise(F.concat_ws(".", (_hash(c("seed"), F.lit(0), F.lit(15)) + 240).cast("string"), octet(1), octet(2), octet(3))))
+        .otherwise(F.concat_ws(".", F.when(times > 0, octet(0)).otherwise((_hash(c("seed"), F.lit(0), F.lit(15)) + 240).cast("string")), octet(1), octet(2), octet(3))))
     script = F.coalesce(*[F.when(c("value").rlike(p), k) for k, p in SCRIPTS.items()], F.lit("latin"))
     names = seeded.where(c("kind").startswith("name-")).withColumn("script", script).withColumns({
         "starts": _by(c("script"), STARTS), "middles": _by(c("script"), MIDDLES),
@@ -188,7 +194,8 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
                     {f"{s}-{g}": v for s, own in ENDS.items() for g, v in own.items()})})
     one = lambda array, at: F.element_at(array, (_hash(c("seed"), F.lit(at), F.size(array)) + 1).cast("int"))
     names = names.withColumn("made", F.concat(
-        one("starts", 1), one("middles", 2), F.lower(one("starts", 3)), one("middles", 4), one("ends", 5)))
+        one("starts", 1), one("middles", 2), F.lower(one("starts", 3)), one("middles", 4),
+        longer(lambda i: F.element_at(c("middles"), (_hash(c("seed"), -i, F.size(c("middles"))) + 1).cast("int"))), one("ends", 5)))
     return numbers.select(*kept, "made").unionByName(others.select(*kept, "made")).unionByName(names.select(*kept, "made"))
 
 

@@ -311,3 +311,10 @@ def test_surrogates_differ_over_titles_and_domains(spark):
     assert len(names) == 2002 == len(set(names.values())) and not set(names) & set(names.values())
     domains = {r.value: r.made.split("@")[1] for r in made if r.kind == "email"}
     assert len(domains) == 338 == len(set(domains.values()))
+
+
+def test_surrogates_do_not_run_out(spark):
+    # One accented letter has 22 surrogates of its length.
+    found = spark.createDataFrame([("email", f"{x}@mail.org") for x in "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāēī"], "kind string, value string")
+    made = [r.made for r in pii.surrogates(found, "k").collect()]
+    assert len(set(made)) == 30 and len({m.split("@")[1] for m in made}) == 1
