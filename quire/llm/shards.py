@@ -10,7 +10,7 @@ Equal texts stay in one shard as long as their group is small against a shard
 (``TOLERANCE``); larger groups are cut, so no group makes shards unequal.
 
 Defined cases: a null text has no bytes and equals the empty text; null keys sort first;
-repeated rows are counted before the shuffle and expanded at the end, each with a slot of
+repeated rows are counted before the shuffle and expanded at the end in chunks, each with a slot of
 its own; an empty input gives an empty result.  Only the key and the text are read.
 Everything is DataFrame operations on rows without texts.
 """
@@ -25,8 +25,11 @@ from quire.llm.common import table, written
 SHARDS = 40
 OVERHEAD = 16       # bytes that a record counts beside its text
 TOLERANCE = 100     # a group is cut when it has more than a shard's bytes / TOLERANCE
-RANGES = 160        # ranges asked for
-SAMPLE = 32 * RANGES  # records sampled at a time, about
+RANGES = 160        # ranges asked for, at least
+RANGE_BYTES = 256 << 20  # bytes of texts in a range: beyond RANGES of these there are more ranges
+SAMPLED = 32        # records sampled at a time for each range, about
+CHUNK = 1000        # copies of a record that one row is expanded to
+TASK_COPIES = 1_000_000  # copies that a task expands, about
 ROUNDS = 6          # times that overfull ranges are subdivided, at most
 
 Bound = tuple[str, int | None]
@@ -54,33 +57,46 @@ def _order(bound: Bound) -> tuple:
     return bound[0], bound[1] is not None, bound[1] or 0
 
 
-def _sample(rows: DataFrame, total: float, wanted: int) -> list[Bound]:
+def _sample(rows: DataFrame, total: float, wanted: int, ranges: int) -> list[Bound]:
     """Order keys drawn by a hash, in proportion to weight; the same on every run."""
     unit = F.xxhash64("digest", "key") / F.lit(2.0 ** 64) + 0.5
-    drawn = rows.where(unit < F.col("weight") * (SAMPLE / max(total, 1.0))).select("digest", "sub")
-    keys = sorted(((r[0], r[1]) for r in drawn.limit(8 * SAMPLE).collect()), key=_order)
+    drawn = rows.where(unit < F.col("weight") * (SAMPLED * ranges / max(total, 1.0))).select("digest", "sub")
+    keys = sorted(((r[0], r[1]) for r in drawn.limit(8 * SAMPLED * ranges).collect()), key=_order)
     return [keys[k * len(keys) // wanted] for k in range(1, wanted)] if keys else []
 
 
-def splitters(rows: DataFrame, total: float) -> tuple[list[Bound], list]:
-    """Splitters, and the exact totals of the ranges that they make (a bounded number)."""
-    bounds = sorted(set(_sample(rows, total, RANGES)), key=_order)
+def splitters(rows: DataFrame, total: float, ranges: int = RANGES) -> tuple[list[Bound], list]:
+    """Splitters, and the exact totals of the ranges that they make (a few times ``ranges``)."""
+    bounds = sorted(set(_sample(rows, total, ranges, ranges)), key=_order)
     for _ in range(ROUNDS):
         sums = rows.groupBy(place(bounds).alias("range")).agg(
             F.sum("weight").alias("weight"), F.sum(F.col("size") * F.col("copies")).alias("bytes"),
             F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("units")).orderBy("range").collect()
-        full = [r for r in sums if r["weight"] > 2 * total / RANGES and r["units"] > 1]
+        full = [r for r in sums if r["weight"] > 2 * total / ranges and r["units"] > 1]
         if not full:
             break
         over = rows.where(place(bounds).isin([r["range"] for r in full]))
         weight = sum(r["weight"] for r in full)
-        more = _sample(over, weight, int(-(-2 * weight * RANGES // total)))
+        more = _sample(over, weight, int(-(-2 * weight * ranges // total)), ranges)
         if set(more) <= set(bounds):
             break
         bounds = sorted({*bounds, *more}, key=_order)
     return bounds, sums
 
 
+def expanded(rows: DataFrame) -> DataFrame:
+    """Every row ``copies`` times, numbered by ``copy``; those of many copies in chunks that are
+    dealt over tasks."""
+    many = rows.where(F.col("copies") > CHUNK)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, (many.agg(F.sum("copies")).first()[0] or 0) // TASK_COPIES)
+    chunks = many.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK)))) \
+        .repartition(tasks, "digest", "key", "chunk")
+    first = F.col("chunk") * CHUNK
+    chunks = chunks.withColumn("copy", F.explode(F.sequence(first, F.least(first + CHUNK, "copies") - 1))).drop("chunk")
+    few = rows.where(F.col("copies") <= CHUNK)
+    return few.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).unionByName(chunks)
+
+
 def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """(key, size, text_crc32, shard, slot) of every row."""
     spark = df.sparkSession
@@ -99,7 +115,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int =
     # A record weighs its bytes and an equal share, so that neither bytes nor rows pile up in a range.
     rows = written(rows.withColumns({"sub": F.when(F.col("large"), F.col("key")),
                                      "weight": (F.col("size") + total / count) * F.col("copies")}), "weighed")
-    bounds, sums = splitters(rows, 2.0 * total)
+    bounds, sums = splitters(rows, 2.0 * total, max(RANGES, -(-total // RANGE_BYTES)))
     starts, at, n = [], 0, 0
     for r in sums:
         starts.append((r["range"], at, n))
@@ -112,7 +128,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int =
         "start": F.col("bytes_before") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(before), F.lit(0)),
         "index": F.col("rows_before") + F.coalesce(F.sum("copies").over(before), F.lit(0))})
     ranged = ranged.withColumn("group_start", F.min("start").over(Window.partitionBy("range", "digest")))
-    each = ranged.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    each = expanded(written(ranged, "ranged"))
     begin = F.when(F.col("large"), F.col("start") + F.col("copy") * F.col("size")).otherwise(F.col("group_start"))
     placed = each.select("key", "size", "crc", (F.col("index") + F.col("copy")).alias("index"), begin.alias("begin"))
     placed = written(placed.withColumn("shard", F.expr(f"cast(begin * {shards}L div {total}L as int)")), "placed")

@@ -318,3 +318,23 @@ def test_surrogates_do_not_run_out(spark):
     found = spark.createDataFrame([("email", f"{x}@mail.org") for x in "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāēī"], "kind string, value string")
     made = [r.made for r in pii.surrogates(found, "k").collect()]
     assert len(set(made)) == 30 and len({m.split("@")[1] for m in made}) == 1
+
+
+def test_shards_expand_copies_in_many_tasks_and_ranges_grow(spark, monkeypatch):
+    one = spark.range(1).select(F.lit(10_500).cast("long").alias("copies"), F.lit("a").alias("digest"), F.lit(1).alias("key"))
+    got = shards.expanded(one).withColumn("task", F.spark_partition_id())
+    assert [r.copy for r in got.select("copy").orderBy("copy").collect()] == list(range(10_500))
+    assert got.groupBy("task").count().agg(F.max("count")).first()[0] < 10_500
+    df = spark.range(3000).select("id", F.when(F.col("id") < 1500, "copy").otherwise(F.col("id").cast("string")).alias("text"))
+    df = df.select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id")).alias("doc_id"), "text")
+    order = sorted((hashlib.md5(r.text.encode()).hexdigest(), r.doc_id, len(r.text) + 16) for r in df.collect())
+    total, at, want, slots = sum(o[2] for o in order), 0, [], {}
+    for _, doc, size in order:  # every text stands alone but the large group, which is cut
+        shard = at * 40 // total
+        want.append((doc, shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+        at += size
+    asked, of = [], shards.splitters
+    monkeypatch.setattr(shards, "splitters", lambda rows, total, ranges: asked.append(ranges) or of(rows, total, ranges))
+    monkeypatch.setattr(shards, "RANGE_BYTES", 300)
+    assert sorted((x.doc_id, x.shard, x.slot) for x in shards.shard(df).collect()) == sorted(want) and asked[0] > shards.RANGES
