@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, langid, pii, shards, simhash, sketch, tokens, toxicity, warc, winnow
+from quire.llm import bpe, dialogue, langid, pii, shards, simhash, sketch, tokens, toxicity, warc, winnow
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_decontamination": winnow.op8_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
+    "op13_conversations": dialogue.op13_conversations,
 }
 
 ORACLE: dict[str, str] = {
     "op5_shards": shards.OP5_SQL,
     "op8_decontamination": winnow.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op13_conversations": dialogue.OP13_SQL,
 }
