@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, dialogue, langid, pii, shards, simhash, sketch, tokens, toxicity, warc, winnow
+from quire.llm import (bpe, credentials, dialogue, langid, pii, shards, simhash, sketch, tokens, toxicity, warc,
+                       whiten, winnow)
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_decontamination": winnow.op8_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
+    "op11_secrets": credentials.op11_secrets,
+    "op12_whitening": whiten.op12_whitening,
     "op13_conversations": dialogue.op13_conversations,
 }
 
