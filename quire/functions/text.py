@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire.functions.lenient import short_key  # noqa: F401  (C1 lives with the key readers)
+from quire.functions.scripts import romanise
 from quire.functions.translit import ONE_TO_MANY, ONE_TO_ONE
 
 # Fixed values ---------------------------------------------------------------
@@ -26,7 +27,7 @@ def _col(c) -> Column:
 def transliterate(c) -> Column:
     """ASCII romanisation of lowercase text; pure-ASCII strings skip the work."""
     c = _col(c)
-    out = c
+    out = romanise(c)      # before marks are dropped: vowel signs are marks
     for src, dst in ONE_TO_MANY.items():
         out = F.replace(out, F.lit(src), F.lit(dst))
     out = F.translate(out, _FROM, _TO)

@@ -172,3 +172,35 @@ def test_reference_keys_of_any_depth(spark):
     got = one_col(spark, [f"[{r}]" for r in refs], _json(L.key_ref_array))
     assert got == [["OL5W"]] * 5 + [[]] * 2
     assert one_col(spark, [f"[{r}]" for r in refs], _json(L.first_ref_key)) == ["OL5W"] * 5 + [None] * 2
+
+
+#: Spellings by script, worked out by hand from the rules of ``functions/scripts.py``.
+SCRIPT_NAMES = {
+    "한국어": "hangugeo", "서울 값": "seoul-gabs", "김치찌개": "gimcijjigae",                       # Hangul
+    "きょうと": "kyouto", "がっこう": "gakkou", "まっちゃ": "matcha", "じゅんび": "junbi",           # hiragana
+    "トーキョー": "tokyo", "ファイル": "fairu", "ウィキペディア": "wikipedia", "チェック": "chekku", "シャツ": "shatsu",  # katakana
+    "हिन्दी": "hindii", "भारत": "bhaarata", "संस्कृत १२": "samskrita-12", "आग": "aaga",         # Devanagari
+    "বাংলা": "baamlaa", "ગુજરાતી": "gujaraatii", "தமிழ்": "tamizh", "తెలుగు": "telugu", "ಕನ್ನಡ": "kannada",  # other Indic scripts
+    "Հայաստան": "hayastan", "և": "ev",                                                                # Armenian
+    "საქართველო": "sakartvelo",                                                                          # Georgian
+    "שלום": "shlvm", "ירושלים 5": "yrvshlym-5",                                                          # Hebrew
+    "سلام": "slam", "كِتَاب": "kitaab", "مدرسة": "mdrsa",                                                    # Arabic
+    "Кот 한 か x": "kot-han-ka-x", "日本": "", "っ": "", "ー": "", "्": "",                                 # mixed, unknown, marks alone
+}
+
+
+def test_slugify_reads_scripts_by_longest_match(spark):
+    got = one_col(spark, list(SCRIPT_NAMES), T.slugify)
+    assert dict(zip(SCRIPT_NAMES, got)) == SCRIPT_NAMES
+
+
+def test_every_letter_of_the_scripts_is_spelled_in_ascii(spark):
+    from quire.functions import scripts as S
+
+    letters = [chr(c) for c in [*range(0x3041, 0x3097), *range(0x30A1, 0x30F7), *range(0xAC00, 0xD7A4, 7)]]
+    letters += [chr(b + c) for b in range(0x0900, 0x0D80, 0x80) for c in range(0x80)]
+    letters += [chr(first + k) for first, sounds in S.ALPHABETS.items() for k in range(len(sounds))]
+    got = one_col(spark, letters, S.romanise)
+    assert all(g.isascii() for g in got)
+    plain = ["plain text", "", "naïve", "Привет", "日本 12"]
+    assert one_col(spark, plain, S.romanise) == plain
