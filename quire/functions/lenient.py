@@ -13,7 +13,10 @@ reader checks the type first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values ---------------------------------------------------------------
@@ -74,6 +77,29 @@ def parse_record(json_text) -> Column:
     return record_of(wrap_record(json_text))
 
 
+_DUPLICATES = "spark.sql.variant.allowDuplicateKeys"
+
+
+@contextmanager
+def tolerant_json(spark: SparkSession) -> Iterator[None]:
+    """Objects may repeat a key: of its values the last counts.  Spark decides this by a setting when a
+    query is planned, so a parse must be built and run (written) inside the block; afterwards the
+    session's setting is what it was."""
+    before = spark.conf.get(_DUPLICATES)
+    spark.conf.set(_DUPLICATES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DUPLICATES, before)
+
+
+def repeats_field(json_text, names) -> Column:
+    """Whether an object's own keys hold one of ``names`` twice (keys of nested objects do not count)."""
+    known = F.array(*[F.lit(n) for n in names])
+    own = F.filter(F.json_object_keys(_col(json_text)), lambda k: F.array_contains(known, k))
+    return F.coalesce(F.size(own) > F.size(F.array_distinct(own)), F.lit(False))
+
+
 def field(record, name: str) -> Column:
     """A field of a parsed record as a VARIANT (NULL when absent); ``a.b`` is nested."""
     path = "$" + "".join(f"['{part}']" for part in name.split("."))

@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, max_hot: int | None = None, min_rows: int = 100_000) -> list:
+HOT_ROWS = 10_000     # rows of a key below which splitting it off is not worth a second join
+
+
+def hot_keys(df: DataFrame, key: str, max_hot: int | None = None, min_rows: int = HOT_ROWS) -> list:
     """Keys holding more rows than an average shuffle partition (and ``min_rows``).
 
     Two small jobs: a row count, and the ``max_hot`` largest per-key counts (a bounded
@@ -38,7 +41,7 @@ def hot_keys(df: DataFrame, key: str, max_hot: int | None = None, min_rows: int
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                max_hot: int | None = None, min_rows: int = 100_000, hot: list | None = None) -> DataFrame:
+                max_hot: int | None = None, min_rows: int = HOT_ROWS, hot: list | None = None) -> DataFrame:
     """``df.join(lookup, key, how)`` for a ``lookup`` unique on ``key``, hot keys split off.
 
     ``hot`` may be given when it was found on a cheaper, already written input with

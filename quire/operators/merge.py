@@ -47,15 +47,22 @@ def new_rows(staged: DataFrame, live: DataFrame, key: str = KEY, admit: DataFram
     return out
 
 
-def taken_suffixes(live: DataFrame, slug_col: str = "slug", base_col: str = "base_slug") -> DataFrame:
-    """B6 + G3: highest suffix already used per base slug (a plain ``base`` counts 1).
-
-    The OR-of-equality-and-prefix lookup is rewritten as an equi-key: each live slug
-    is split once into ``(base, n)``; natural slugs never contain ``--``.
+def taken_suffixes(live: DataFrame, slug_col: str = "slug", base_col: str = "base_slug",
+                   bases: DataFrame | None = None) -> DataFrame:
+    """B6 + G3: highest suffix already used per base slug (a plain ``base`` counts 1), of ``bases`` only if
+    given.
+
+    The OR-of-equality-and-prefix lookup is rewritten as an equi-key: a live slug ``x--N`` stands for
+    base ``x`` with N, and, as any other, for itself with 1 (natural slugs never contain ``--``, but one made
+    of a key may).
     """
     base, n = split_slug(F.col(slug_col))
-    return (live.select(base.alias(base_col), n.alias("n"))
-            .groupBy(base_col).agg(F.max("n").alias("taken")))
+    plain = F.struct(F.col(slug_col).alias("b"), F.lit(1).cast("bigint").alias("n"))
+    pairs = F.when(base == F.col(slug_col), F.array(plain)).otherwise(F.array(plain, F.struct(base.alias("b"), n.alias("n"))))
+    used = live.select(F.explode(pairs).alias("u")).select(F.col("u.b").alias(base_col), F.col("u.n").alias("n"))
+    if bases is not None:
+        used = used.join(bases.select(base_col).distinct(), base_col, "left_semi")     # G2
+    return used.groupBy(base_col).agg(F.max("n").alias("taken"))
 
 
 def assign_slugs(rows: DataFrame, key: str = KEY, base_col: str = "base_slug",
@@ -142,7 +149,7 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     deduped = staged if deduplicated else latest_per_key(staged, key)
     new = materialize(new_rows(deduped, live, key, admit), f"{scratch}/new")
     narrow_cols = [key, "base_slug"] + ([fk.child_col] if fk is not None else [])
-    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live),
+    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live, bases=new.select("base_slug")),
                            path=f"{scratch}/numbered")
     if fk is not None:
         slugged = fk.resolve(slugged, hot_from=new.select(fk.child_col))

@@ -224,3 +224,78 @@ def test_import_leaves_no_scratch_and_counts_links(spark):
     assert first.merges["authorships"]["updated"] == 0 and first.merges["authorships"]["inserted"] > 0
     assert again.merges["authorships"] == {"updated": first.merges["authorships"]["inserted"], "inserted": 0}
     assert set(os.listdir(root)) - before == set()
+
+
+def _folder_dump(d, kind, name, parts):
+    """A dump of several files; ``parts`` are the lines of each, in order."""
+    folder = os.path.join(d, f"ol_dump_{kind}_{name}")
+    for k, lines in enumerate(parts):
+        path = write_dump(folder, "x", lines, name=f"{k}")
+        os.rename(path, os.path.join(folder, f"part-{k}.txt.gz"))
+    return folder
+
+
+def test_a_folder_of_files_is_a_dump(spark):
+    d = _dir("folder with spaces, 100%")
+    old = write_dump(d, "works", [work("OL9W", title="old")], name="2024-01-01")
+    folder = _folder_dump(d, "works", "2024-02-01", [[f"a\tOL{k * 10 + i}W\t1\tt\t{{}}" for i in range(7)] for k in range(12)])
+    os.utime(old, (1, 1))
+    dump = find_dump(spark, d, "works")
+    assert dump.endswith(os.path.basename(folder))
+    # part-10 comes after part-9, not after part-1
+    assert [os.path.basename(f) for f in dump.files] == [f"part-{k}.txt.gz" for k in range(12)]
+    rows = split_rows(read_dump_lines(spark, dump, 4)).orderBy("line_no").collect()
+    assert [r["key"] for r in rows] == [f"OL{k * 10 + i}W" for k in range(12) for i in range(7)]
+    assert [r["line_no"] >> 33 for r in rows] == [k for k in range(12) for _ in range(7)]
+    # A newer single file wins, and one file is a dump of one file.
+    os.utime(old, (time.time() + 100, time.time() + 100))
+    assert list(find_dump(spark, d, "works").files) == [find_dump(spark, d, "works")]
+    with pytest.raises(DumpNotFound):
+        find_dump(spark, d, "authors")
+    with pytest.raises(DumpNotFound):
+        find_dump(spark, os.path.join(d, "nowhere"), "works")
+
+
+def test_import_of_a_folder_keeps_file_order(spark):
+    from quire.plans.importer import ImportParams
+
+    d, root = _dir("dumps"), _dir("store")
+    full = dict(title="T", works=[{"key": "/works/OL1W"}], languages=[{"key": "/languages/eng"}], covers=[1], publish_date="2000")
+    _folder_dump(d, "editions", "latest", [[edition(f"OL{k * 100 + 50 - i}M", **full) for i in range(5)] for k in range(11, -1, -1)])
+    _folder_dump(d, "works", "latest", [[work("OL1W", title="W")], [work("OL2W", title="X")]])
+    write_dump(d, "authors", [author("OL1A", name="A")])
+    report = run_import(spark, d, root, dev=True, run_ts=T1, params=ImportParams(dev_limit=52))
+    want = [f"OL{k * 100 + 50 - i}M" for k in range(11, -1, -1) for i in range(5)][:52]
+    assert sorted(r[0] for r in TableStore(spark, root).read("editions").select("open_library_id").collect()) == sorted(want)
+    assert report.scans["editions"]["written"] == 52
+
+
+def test_the_cut_is_found_in_small_blocks(spark):
+    from quire.operators import stage as S
+
+    # 3 files; lines far apart, near each other, and twice the same.
+    lines = [f << 33 | line for f in range(3) for line in [0, 1, 1, 5, 2047, 2048, 1 << 22, (1 << 22) + 3, (1 << 30) + 9]]
+    df = spark.createDataFrame([(n, k) for k, n in enumerate(lines)], "line_no long, revision long").repartition(5)
+    for n in [0, 1, 2, 3, 4, 7, 9, 10, 17, 18, 26, 27, 40]:
+        got = sorted(r.revision for r in S.first_n_in_file_order(df, n).collect())
+        assert got == list(range(min(n, len(lines)))), n
+
+
+def test_records_with_repeated_keys(spark):
+    """Known top-level fields must not repeat; anything else may, and the last value counts."""
+    lines = ['{"title":"A","description":{"value":"x","value":"y"}}', '{"title":"A","title":"B"}', '{"q":1,"title":"A","q":2}',
+             '{"title":"A","subjects":[{"k":1,"k":2},"s"]}', '{"title":"A","title":"B"', '{"title":"A"} x', '[{"title":"A"}]',
+             '{"title":"A","authors":[{"author":{"key":"/authors/OL1A","key":"/authors/OL2A"}}]}', '"title"', "", '{"titl\\u0065":"A","title":"B"}']
+    d, root = _dir("dumps"), _dir("store")
+    write_dump(d, "editions", [edition(f"OL{k}M", title="E", works=[{"key": f"/works/OL{k}W"}], languages=[{"key": "/languages/eng"}])
+                               for k in range(len(lines))])
+    write_dump(d, "works", [line("/type/work", f"/works/OL{k}W", text) for k, text in enumerate(lines)])
+    write_dump(d, "authors", [author("OL1A", name="One"), author("OL2A", name="Two"), line("/type/author", "/authors/OL3A", '{"name":"a","name":"b"}')])
+    setting = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
+    report = run_import(spark, d, root, run_ts=T1)
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == setting
+    store = TableStore(spark, root)
+    assert _rows(store, "works", ["open_library_id", "title", "description"]) == [
+        ("OL0W", "A", "y"), ("OL2W", "A", None), ("OL3W", "A", None), ("OL7W", "A", None)]
+    assert report.scans["works"] == {"written": 4, "malformed": 7} and report.scans["authors"]["malformed"] == 1
+    assert _rows(store, "authors", ["open_library_id", "works_count"]) == [("OL2A", 1)]
