@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import scratch_dir
+from quire.sources.store import delete_tree
 
 #: A cut before a space between two ASCII letters never crosses a word, a contraction or
 #: a special string, so pieces of a text cut there tokenise as the whole text does.
@@ -37,9 +40,34 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+_FOLDERS: list[str] = []     # of the runs that are going on, the innermost last
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return scratch_dir(spark, name)
+    """A fresh folder under the shared checkpoint folder, or under the folder of the run that is going on."""
+    path = scratch_dir(spark, name)
+    return f"{_FOLDERS[-1]}/{os.path.basename(path)}" if _FOLDERS else path
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for everything written inside the block, deleted after it: only for blocks whose result has been
+    written elsewhere."""
+    folder = scratch(spark, name)
+    _FOLDERS.append(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDERS.remove(folder)
+        delete_tree(spark, folder)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that a table does not have (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

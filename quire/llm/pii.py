@@ -14,20 +14,22 @@ run out; those of numbers keep their length, and only their first digits are let
 
 Defined cases: a null text stays null; empty texts and texts without personal data stay as
 they are; texts of any length are searched whole; copies get equal replacements; repeated
-rows, null keys, other columns and empty tables pass through.  All columns are kept; those
-that the operator adds must not exist yet.  Everything is DataFrame operations.
+rows, null keys, other columns and empty tables pass through.  All columns are kept, whatever
+their names.  Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import secrets
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import sized, table, written
 
-KEY = "quire"       # the secret; a parameter of every operator
+KEY_SETTING = "spark.quire.surrogate.key"     # names the secret; without it every application draws its own
 ROUNDS = 50         # times that colliding surrogates are made anew, at most
 LONGER = 3          # after so many times each, a surrogate gets one more character or syllable
 LETTERS = r"\p{Lu}\p{Ll}\p{Lt}\p{Lm}\p{M}"      # of scripts with upper and lower case
@@ -65,15 +67,18 @@ SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "kana": r"^[\
            "hangul": r"\p{IsHangul}", "arabic": r"\p{IsArabic}", "hebrew": r"\p{IsHebrew}"}
 
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
-_TITLED = rf"(?:(?:{_TITLE})\.?[ \u00a0])+"
+_ONE = rf"(?:{_TITLE})\.?[ \u00a0]"
+#: Repeats without a limit are possessive: Java's others recurse, once a repeat.
+_TITLED = rf"(?:{_ONE})++"
 _WORD = rf"\p{{Lu}}[{LETTERS}]*(?:['’]\p{{Lu}}[{LETTERS}]+|[{LETTERS}])"     # O'Brien, and Berg of Berg's
 _INITIALS = r"(?:(?:\p{Lu}\.){1,4}[ \u00a0]?|\p{Lu}[ \u00a0](?=\p{Lu}))"
 _PARTICLE = r"(?:(?:von|van|de|der|den|del|della|di|da|dos|du|la|le|zu|zur|ten|ter|bin|ibn|al|el)[ \u00a0]|al-|el-|[dl]['’])"
 _PART = rf"{_INITIALS}{{0,3}}{_PARTICLE}{{0,2}}{_WORD}"
 #: Scripts without case: so many characters where words are not spaced, otherwise one word.
 _CASELESS = (r"(?:\p{IsHan}{1,4}|\p{IsHangul}{2,4}|[\p{IsHiragana}\p{IsKatakana}ー]{1,8}"
-             r"|(?:(?![\p{IsHan}\p{IsHangul}\p{IsHiragana}\p{IsKatakana}])\p{Lo}\p{M}*){2,})")
-NAME = (rf"(?<![\p{{L}}\p{{N}}]){_TITLED}"
+             r"|(?:(?![\p{IsHan}\p{IsHangul}\p{IsHiragana}\p{IsKatakana}])\p{Lo}\p{M}*+){2,}+)")
+#: Titles in a row are one mention, tried at the first of them only.
+NAME = (rf"(?<![\p{{L}}\p{{N}}])(?={_ONE})(?<!(?<![\p{{L}}\p{{N}}]){_ONE}){_TITLED}"
         rf"(?:{_PART}(?:[ \u00a0-]{_PART}){{0,3}}|{_CASELESS}|(?:\p{{Lu}}\.){{1,4}})")
 #: What marks the keys of well-known services; their other characters are exchanged.
 _MARK = (r"(?:gh[pousr]_|github_pat_|glpat-|hf_|npm_|xox[abeprs]-|AIza|ASIA|eyJ|sk-(?:[a-z]{2,8}-){0,2}"
@@ -85,7 +90,13 @@ _HEX = "[0-9A-Fa-f]{1,4}"
 #: Eight groups, or some groups and ``::`` with a digit anywhere (without one it may be program text).
 IPV6 = (rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}"
         rf"|(?=[A-Fa-f:]*[0-9]){_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])")
-_PLAIN = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+#: With a country's code or an area in brackets; without either, dashes or groups of 3, 3 and 4 (other numbers
+#: in groups are amounts and sizes).
+_PLAIN = (r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"
+          r"|\([0-9]{2,4}\) ?[0-9]{3,4}[ .-][0-9]{3,4}|(?<![0-9][ .,-])(?:[0-9]{2,4}-[0-9]{3,4}-[0-9]{3,4}"
+          r"|[0-9]{3}[ .][0-9]{3}[ .][0-9]{4})(?![ .,-]?[0-9]))(?![0-9])")
+#: Calling codes of one and two digits (fixed values); all others have three.
+COUNTRY = "1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 _GAP = r"(?:[ ./-]|[ .-]?\(|\)[ .-]?)?"
 #: +E.164, 00 before a country's number, and national numbers after 0 in two groups or more (dates are not).
 PHONE = (rf"(?<![\p{{N}}+])(?:{_PLAIN}|\+[1-9](?:{_GAP}[0-9]){{7,14}}(?![0-9])"
@@ -94,7 +105,9 @@ PHONE = (rf"(?<![\p{{N}}+])(?:{_PLAIN}|\+[1-9](?:{_GAP}[0-9]){{7,14}}(?![0-9])"
          r"|\(0[0-9]{1,4}\) ?[0-9](?:[ ./-]?[0-9]){4,9})(?![0-9]))")
 #: Patterns by kind, tried in this order at every place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}",
+    # No real domain has over 127 labels; longer chains are taken to their end.
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:(?=[\p{L}\p{N}.-]*\.\p{L}{2})(?:[\p{L}\p{N}-]++\.){127}+[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*+"
+             r"|(?:[\p{L}\p{N}-]++\.){1,127}\p{L}{2,})",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
     "key": rf"(?<![\p{{L}}\p{{N}}]){KEYS}(?![\p{{L}}\p{{N}}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -124,8 +137,8 @@ def _pick(seed: Column, at, values: str) -> Column:
 
 def _each(text: Column, change) -> Column:
     """A text with every character replaced by ``change(character, place)``."""
-    return F.when(F.length(text) > 0, F.array_join(F.transform(
-        F.sequence(F.lit(1), F.length(text)), lambda i: change(F.substring(text, i, F.lit(1)), i)), "")).otherwise(text)
+    letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))   # in one pass, whatever the length
+    return F.when(text.isNotNull(), F.array_join(F.transform(letters, lambda c, i: change(c, i + 1)), ""))
 
 
 def _shaped(text: Column, seed: Column) -> Column:
@@ -207,6 +220,15 @@ def other_initials(token: Column, key: str) -> Column:
     return F.translate(token, "".join(alphabets), "".join(moved))
 
 
+def national(mention: Column) -> Column:
+    """The digits of a phone number without its country's code and the zeros before the area, so that
+    national and international forms are one entity."""
+    abroad = F.regexp_replace(F.regexp_replace(mention, r"^\+|^00", "+"), "[^0-9+]", "")
+    digits = F.regexp_replace(F.when(abroad.startswith("+"), F.regexp_replace(abroad, rf"^\+(?:{COUNTRY}|[0-9]{{3}})", ""))
+                              .otherwise(abroad), "^0+(?=.)", "")
+    return F.when(F.length(digits) > 0, digits).otherwise(F.regexp_replace(mention, "[^0-9]", ""))
+
+
 def tokens_of(mentions: DataFrame, key: str) -> DataFrame:
     """(mention, at, token, kind, value): the entities in distinct mentions; titles, initials
     (exchanged already), particles and what stands between have no kind."""
@@ -227,7 +249,7 @@ def tokens_of(mentions: DataFrame, key: str) -> DataFrame:
         part(1), F.array_repeat(F.lit("0"), 8 - F.size(part(1)) - F.size(part(-1))), part(-1))).otherwise(F.split(low, ":"))
     address = F.array_join(F.transform(groups, lambda x: F.regexp_replace(x, "^0+(?=.)", "")), ":")
     digits = F.regexp_replace("mention", "[^0-9]", "")
-    value = F.when(c("kind").isin("card", "phone", "ssn"), digits).when(c("kind") == "ipv6", address) \
+    value = F.when(c("kind") == "phone", national(c("mention"))).when(c("kind").isin("card", "ssn"), digits).when(c("kind") == "ipv6", address) \
         .when(c("kind") == "iban", F.replace(c("mention"), F.lit(" "), F.lit(""))) \
         .when(c("kind").isin("email", "secret"), F.lower("mention")).otherwise(c("mention"))
     others = rows.where("kind <> 'name'").select("mention", F.lit(0).alias("at"), c("mention").alias("token"), "kind",
@@ -238,8 +260,11 @@ def tokens_of(mentions: DataFrame, key: str) -> DataFrame:
 def rendered() -> Column:
     """A surrogate (``made``) in the format of the token that it replaces."""
     c = F.col
-    poured = lambda keep: _each(c("token"), lambda x, i: F.when(x.rlike(f"[{keep}]"), F.substring(
-        c("made"), F.length(F.regexp_replace(F.left(c("token"), i), f"[^{keep}]", "")), F.lit(1))).otherwise(x))
+    # Aligned at the end: what a surrogate does not reach (a country's code, zeros) stays.
+    size = lambda keep: F.length(F.regexp_replace("token", f"[^{keep}]", "")) - F.length("made")
+    poured = lambda keep: _each(c("token"), lambda x, i: F.when(
+        x.rlike(f"[{keep}]") & (F.length(F.regexp_replace(F.left(c("token"), i), f"[^{keep}]", "")) > size(keep)), F.substring(
+            c("made"), F.length(F.regexp_replace(F.left(c("token"), i), f"[^{keep}]", "")) - size(keep), F.lit(1))).otherwise(x))
     upper = (c("token") == F.upper("token")) & c("token").rlike("[A-Z]")
     return F.when(c("made").isNull(), c("token")).when(c("kind").isin("card", "phone", "ssn"), poured("0-9")) \
         .when(c("kind") == "iban", poured("A-Z0-9")).when(c("kind").isin("email", "secret", "ipv6") & upper, F.upper("made")) \
@@ -295,11 +320,26 @@ def distinct_surrogates(found: DataFrame, key: str) -> DataFrame:
     raise ValueError("there are not enough surrogates for all entities")
 
 
-def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None = None) -> DataFrame:
+@functools.cache
+def _drawn(application: str) -> str:
+    return secrets.token_hex(32)
+
+
+def secret_key(spark: SparkSession) -> str:
+    """The secret that surrogates depend on: from the session's settings, so that runs agree; unset, a random
+    one that lasts as long as the application, never a known value."""
+    return spark.conf.get(KEY_SETTING, None) or _drawn(spark.sparkContext.applicationId)
+
+
+def replace(df: DataFrame, text: str = "text", key: str | None = None, count: str | None = None) -> DataFrame:
     """Replace the personal data in a text column; ``count`` names a column for the number of
     mentions.  Names found after a title are also replaced where the same text has them without.
     Rows of mentions, not texts, are shuffled; the replacements of a text reach it by its digest."""
-    c = F.col
+    c, key = F.col, key or secret_key(df.sparkSession)
+    own_, columns = "__", [*df.columns, count or ""]
+    while any(x.startswith(own_) for x in columns):     # columns of our own, whatever the table's are called
+        own_ += "_"
+    d, at, new, names_, any_, found, gaps = (own_ + x for x in ("d", "key", "new", "names", "any", "found", "gaps"))
     digest = F.sha2(c(text).cast("binary"), 256)
     places = written(df.select(F.regexp_extract_all(c(text), F.lit(ANY), F.lit(0)).alias("mentions"), digest.alias("d"))
                      .where(F.size("mentions") > 0).select("d", F.explode("mentions").alias("mention")).distinct(), "mentions")
@@ -308,24 +348,24 @@ def replace(df: DataFrame, text: str = "text", key: str = KEY, count: str | None
         family(c("kind")).alias("k"), c("value").alias("v"), "made")
     tokens = written(tokens.join(made, (family(c("kind")) == c("k")) & (c("value") == c("v")), "left")
                      .withColumn("new", rendered()), "rendered")
-    new = tokens.groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("parts")) \
+    made_ = tokens.groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("parts")) \
         .select(c("mention").alias("m"), c("mention").alias("old"), F.array_join(c("parts.new"), "").alias("new"), F.lit(False).alias("name"))
     names = tokens.where("k = 'name'").where(F.length("token") > 1).select(
         c("mention").alias("m"), c("token").alias("old"), "new", F.lit(True).alias("name")).distinct()
-    maps = places.join(new.unionByName(names), c("mention") == c("m")).groupBy(c("d").alias("__key")).agg(
-        F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias("__new"),
-        F.sort_array(F.collect_set(F.when(c("name"), c("old"))), asc=False).alias("__names"))
-    own = F.when(F.size("__names") > 0, F.concat(F.lit(f"{ANY}|"), bare_names(c("__names")))).otherwise(ANY)
-    rows = df.withColumn("__d", digest).join(sized(written(maps, "replacements")), c("__d") == c("__key"), "left") \
-        .drop("__d", "__key").withColumn("__any", own) \
-        .withColumn("__found", F.when(c("__new").isNotNull(), F.regexp_extract_all(c(text), c("__any"), F.lit(0)))) \
-        .withColumn("__gaps", F.when(c("__new").isNotNull(), F.split(c(text), c("__any"), -1)))
-    joined = F.array_join(F.transform("__gaps", lambda g, i: F.concat(
-        g, F.coalesce(F.element_at(c("__new"), F.get("__found", i)), F.get("__found", i), F.lit("")))), "")
+    maps = places.join(made_.unionByName(names), c("mention") == c("m")).groupBy(c("d").alias(at)).agg(
+        F.map_from_entries(F.collect_set(F.struct("old", "new"))).alias(new),
+        F.sort_array(F.collect_set(F.when(c("name"), c("old"))), asc=False).alias(names_))
+    pattern = F.when(F.size(names_) > 0, F.concat(F.lit(f"{ANY}|"), bare_names(c(names_)))).otherwise(ANY)
+    rows = df.withColumn(d, digest).join(sized(written(maps, "replacements")), c(d) == c(at), "left") \
+        .drop(d, at).withColumn(any_, pattern) \
+        .withColumn(found, F.when(c(new).isNotNull(), F.regexp_extract_all(c(text), c(any_), F.lit(0)))) \
+        .withColumn(gaps, F.when(c(new).isNotNull(), F.split(c(text), c(any_), -1)))
+    joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(
+        g, F.coalesce(F.element_at(c(new), F.get(found, i)), F.get(found, i), F.lit("")))), "")
     if count:
-        rows = rows.withColumn(count, F.coalesce(F.size("__found"), F.lit(0)).cast("long"))
-    return rows.withColumn(text, F.when(c("__new").isNotNull(), joined).otherwise(c(text))) \
-        .drop("__found", "__gaps", "__new", "__names", "__any")
+        rows = rows.withColumn(count, F.coalesce(F.size(found), F.lit(0)).cast("long"))
+    return rows.withColumn(text, F.when(c(new).isNotNull(), joined).otherwise(c(text))) \
+        .drop(found, gaps, new, names_, any_)
 
 
 def op3_surrogates(spark, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ ROUNDS = 30           # EM rounds, and Newton steps of the classifier
 LEAST_VARIANCE = 0.02
 THRESHOLD = 0.7
 KNOWN = 100_000       # words whose entries a worker keeps at most
+COUNTED = 100_000     # entries that a worker counts before it hands them on, about
 
 WORD = re.compile(r"[^\W\d_]+")
 CAPITAL = re.compile("[A-Z]")
@@ -171,17 +172,29 @@ class Model:
 
 def induced(sample: DataFrame) -> list[str]:
     """The entries that stand out in toxic texts of a sample (text, toxic), strongest first."""
-    @F.arrow_udf("array<string>")
-    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, list[int]] = {}    # of an entry its toxic and other texts
+
+        def flushed() -> pa.RecordBatch:
+            return pa.record_batch({"entry": pa.array(counts.keys(), pa.string()),
+                                    "bad": pa.array([c[0] for c in counts.values()], pa.int64()),
+                                    "good": pa.array([c[1] for c in counts.values()], pa.int64())})
+
         for batch in batches:
-            yield pa.array([sorted({e for w in set(WORD.findall((t.as_py() or "").lower())) for e in entries_of(w)})
-                            for t in batch], pa.list_(pa.string()))
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                at = 0 if toxic.as_py() else 1
+                for entry in {e for w in set(WORD.findall((text.as_py() or "").lower())) for e in entries_of(w)}:
+                    counts.setdefault(entry, [0, 0])[at] += 1
+                if len(counts) >= COUNTED:
+                    yield flushed()
+                    counts.clear()
+        yield flushed()
 
     texts, toxic = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not texts or not toxic or toxic == texts:
         return []
-    each = sample.select(F.explode(found("text")).alias("entry"), "toxic")
-    counts = each.groupBy("entry").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    counts = sample.select("text", "toxic").mapInArrow(tally, "entry string, bad long, good long") \
+        .groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (toxic + 1.0)) - F.log((F.col("good") + 0.5) / (texts - toxic + 1.0))
     strong = counts.withColumn("odds", odds).where((F.col("bad") >= LEAST_TEXTS) & (F.col("odds") >= LEAST_ODDS))
     return [r["entry"] for r in strong.orderBy(F.desc(F.col("odds") * F.col("bad")), "entry").limit(ENTRIES).collect()]
