@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import stages
-from quire.llm.common import table, written
+from quire.llm.common import run_folder, scratch, table
+from quire.sources.store import delete_tree
 
 STAGES = [
     ("toxicity", stages.drop_toxic),
@@ -17,13 +18,19 @@ STAGES = [
     ("byte_bpe", stages.tokenize),
 ]
 
-#: None: the fingerprints, the classifier and the tokenizer have no SQL; tests compare with
-#: brute force instead.
+#: None: the fingerprints, the classifier and the tokenizer have no SQL; ``tests/llm/test_pipeline.py`` compares with
+#: plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages.  What a stage wrote is deleted when the next one has been written; the last one's rows stay."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        with run_folder(spark, f"work-{name}"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_tree(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
