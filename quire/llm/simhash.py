@@ -24,13 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import table, written
+from quire.llm.common import sized, table, written
+from quire.operators.joins import lookup_join
 
 SEED = 42
 MAX_BITS = 4         # largest number of differing bits that links
 WORDS = 4            # words in a shingle
-BLOCK = 16_384       # fingerprints in a block, about
-LEAST_BLOCKS, MOST_BLOCKS = 8, 1024
+#: Fingerprints in a block, about: small blocks while there are few, up to the most that a task should hold two of.
+SMALL_BLOCK, LARGE_BLOCK = 16_384, 1 << 20
+LEAST_BLOCKS, FEW_BLOCKS = 8, 1024
+NODES = 32           # blocks, or nodes, under a node of the index over blocks
+HOT_ROWS = 100_000   # rows of one fingerprint or class from which its join is split off
 SAMPLE_PER_BLOCK = 64
 FANOUT = 4           # children of an index node
 STEP = 1 << 16       # node pairs expanded at once
@@ -161,7 +165,7 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     spark = distinct.sparkSession
     ranked = distinct.select("fp", gray_rank(F.col("fp")).alias("rank"))
     n = ranked.count()
-    blocks = min(max(LEAST_BLOCKS, -(-n // BLOCK)), MOST_BLOCKS)
+    blocks = max(LEAST_BLOCKS, min(-(-n // SMALL_BLOCK), FEW_BLOCKS), -(-n // LARGE_BLOCK))
     # A sample by hash: the same on every run, and bounded whatever the input.
     every = max(1, n // (blocks * SAMPLE_PER_BLOCK))
     sample = np.sort(np.array([r[0] for r in ranked.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0)
@@ -173,27 +177,48 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
         return pa.array(np.searchsorted(bounds, ranks.to_numpy(zero_copy_only=False), side="right"), pa.int32())
 
     placed = written(ranked.select("fp", "rank", block_of("rank").alias("block")), "blocks")
-    nodes = placed.groupBy("block").agg(F.expr("bit_and(fp)").alias("every"), F.expr("bit_or(fp)").alias("some")) \
-        .orderBy("block").collect()  # at most MOST_BLOCKS rows
-    every_, some = (np.array([r[c] for r in nodes], np.int64).astype(np.uint64) for c in ("every", "some"))
-    shared = ~(every_ ^ some)
-    pairs = [(x, y) for x in range(len(nodes)) for y in range(x, len(nodes)) if x == y or
-             int((every_[x] ^ every_[y]) & shared[x] & shared[y]).bit_count() <= bits]
-    meets = spark.createDataFrame([(int(nodes[k]["block"]), p, k == y) for p, (x, y) in enumerate(pairs)
-                                   for k in {x, y}], "block int, pair int, second boolean")
-    alone = {p for p, (x, y) in enumerate(pairs) if x == y}
+    meets = near_blocks(placed, blocks, bits)
+    both = F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("second"))))
+                     .otherwise(F.array(F.struct(F.col("x").alias("block"), F.lit(False).alias("second")),
+                                        F.struct(F.col("y").alias("block"), F.lit(True).alias("second")))))
+    meets = meets.select("x", "y", both.alias("m")).select("x", "y", "m.block", "m.second")
 
     def compare(rows: pa.Table) -> pa.Table:
         fps = rows["fp"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(rows["rank"].to_numpy(), kind="stable")
         second = rows["second"].to_numpy(zero_copy_only=False).astype(bool)[order]
         fps = fps[order]
-        pair = rows["pair"][0].as_py()
-        u, v = forest(fps, None, bits) if pair in alone else forest(fps[~second], fps[second], bits)
+        alone = rows["x"][0].as_py() == rows["y"][0].as_py()
+        u, v = forest(fps, None, bits) if alone else forest(fps[~second], fps[second], bits)
         return pa.table({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
 
-    met = placed.join(F.broadcast(meets), "block")  # at most MOST_BLOCKS squared rows
-    return met.groupBy("pair").applyInArrow(compare, "u long, v long")
+    met = placed.join(sized(written(meets, "meets"), most=1_000_000), "block")
+    return met.groupBy("x", "y").applyInArrow(compare, "u long, v long")
+
+
+def near_blocks(placed: DataFrame, blocks: int, bits: int) -> DataFrame:
+    """(x, y), x <= y: the blocks that may hold near fingerprints.  Above the blocks stands a tree whose nodes
+    keep the bits that all fingerprints under them share; it is descended level by level, and a
+    pair of nodes goes on if their shared bits differ little enough."""
+    every, some = F.col("every"), F.col("some")
+    level = written(placed.groupBy(F.col("block").cast("long").alias("node")).agg(
+        F.expr("bit_and(fp)").alias("every"), F.expr("bit_or(fp)").alias("some")), "nodes")
+    levels = [level]
+    while (blocks := -(-blocks // NODES)) >= 1:
+        level = written(levels[-1].groupBy(F.floor(F.col("node") / NODES).alias("node")).agg(
+            F.expr("bit_and(every)").alias("every"), F.expr("bit_or(some)").alias("some")), "nodes")
+        levels.append(level)
+        if blocks == 1:
+            break
+    pairs = levels[-1].select(F.col("node").alias("x"), F.col("node").alias("y"))
+    shared = F.bitwise_not(every.bitwiseXOR(some))
+    for level in reversed(levels[:-1]):
+        side = lambda c: level.select(F.floor(F.col("node") / NODES).alias(c), F.col("node").alias("n" + c),
+                                      every.alias("e" + c), shared.alias("s" + c))
+        differ = F.col("ex").bitwiseXOR(F.col("ey")).bitwiseAND(F.col("sx")).bitwiseAND(F.col("sy"))
+        pairs = pairs.join(side("x"), "x").join(side("y"), "y").where((F.col("nx") <= F.col("ny")) & (F.bit_count(differ) <= bits))
+        pairs = written(pairs.select(F.col("nx").alias("x"), F.col("ny").alias("y")), "pairs")
+    return pairs
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,10 +229,12 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.where("u <> v").distinct(), "edges")
     nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node"))
     names = written(nodes, "nodes")
+    many = names.count() > HOT_ROWS      # fewer nodes cannot make a hot class
     while not edges.isEmpty():
         both = edges.select("u", "v").union(edges.select("v", "u"))
         step = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("to")), "renames")
-        names = written(names.join(step, names.root == step.u, "left")
+        names = written(lookup_join(names, step.withColumnRenamed("u", "root"), "root", "left", min_rows=HOT_ROWS,
+                                    hot=None if many else [])
                         .select("node", F.coalesce("to", "root").alias("root")), "nodes")
         ends = edges.join(step, "u").select(F.col("to").alias("a"), "v") \
             .join(step.select(F.col("u").alias("v"), F.col("to").alias("b")), "v")
@@ -226,8 +253,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     group = written(distinct.join(names, distinct.fp == names.node, "left")
                     .select("fp", "least", F.coalesce("root", "fp").alias("component")), "groups")
     least = group.groupBy("component").agg(F.min("least").alias("smallest"))
-    group = group.select("fp", "component").join(least, "component")
-    return rows.join(group, "fp").select(F.col("key").alias(key), "fp", "component", "smallest")
+    group = lookup_join(group.select("fp", "component"), least, "component", min_rows=HOT_ROWS)
+    return lookup_join(rows, written(group, "classes"), "fp", min_rows=HOT_ROWS).select(F.col("key").alias(key), "fp", "component", "smallest")
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import table, written
+from quire.llm.common import table, unused, written
 
 K = 128
 WORDS = 5
@@ -46,9 +46,11 @@ def merged(a: Column, b: Column, k: int = K) -> Column:
 
 
 def merge_parts(df: DataFrame, key: str, sketch: str, k: int = K) -> DataFrame:
-    """One sketch per key from any number of parts; each task first keeps its own k smallest."""
-    each = df.select(key, F.explode(sketch).alias("h")).distinct()
-    low = each.withColumn("at", F.row_number().over(Window.partitionBy(key).orderBy("h"))).where(F.col("at") <= k)
+    """One sketch per key from any number of parts; each task first keeps its own k smallest.  A key whose parts are
+    all empty has an empty sketch."""
+    each = df.select(key, F.explode_outer(sketch).alias("h")).distinct()
+    order = Window.partitionBy(key).orderBy(F.col("h").asc_nulls_last())
+    low = each.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k)
     return low.groupBy(key).agg(F.sort_array(F.collect_list("h")).alias(sketch))
 
 
@@ -113,14 +115,27 @@ def with_next(df: DataFrame, key: str, text: str, columns: list[str], derive=lam
         F.min(F.struct((-F.col("key")).alias("down"), "digest", "key")).alias("top")).orderBy(F.desc("range")).collect()
     after = [(tops[k]["range"], tops[(k + 1) % len(tops)]["top"]["key"], tops[(k + 1) % len(tops)]["top"]["digest"])
              for k in range(len(tops))]
-    ghosts = df.sparkSession.createDataFrame(after, "__range int, __k long, __d string")
-    rows = df.withColumns({"__range": at(F.col(key)), "__ghost": F.lit(False)})
-    copies = df.join(F.broadcast(ghosts), F.col(key).eqNullSafe(F.col("__k"))).where(digest == F.col("__d")) \
-        .withColumn("__ghost", F.lit(True)).drop("__k", "__d")
-    both = derive(rows.unionByName(copies))
-    order = Window.partitionBy("__range").orderBy("__ghost", F.col(key).desc_nulls_last(), digest)
-    return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where(~F.col("__ghost")) \
-        .drop("__range", "__ghost")
+    at_, ghost, k_, d_ = (unused(df, c) for c in ("range", "ghost", "own_key", "own_digest"))
+    ghosts = df.sparkSession.createDataFrame(after, f"{at_} int, {k_} long, {d_} string")
+    rows = df.withColumns({at_: at(F.col(key)), ghost: F.lit(False)})
+    copies = df.join(F.broadcast(ghosts), F.col(key).eqNullSafe(F.col(k_))).where(digest == F.col(d_)) \
+        .withColumn(ghost, F.lit(True)).drop(k_, d_)
+    # One range a task: labels that the shuffle's hash sends to a partition each.
+    places = [t["range"] for t in tops]
+    named = df.sparkSession.createDataFrame(list(zip(places, spread(df.sparkSession, len(places)))), f"{k_} int, {d_} int")
+    both = derive(rows.unionByName(copies)).join(F.broadcast(named), F.col(at_) == F.col(k_)).drop(at_, k_) \
+        .withColumnRenamed(d_, at_)
+    both = both.repartition(max(len(places), 1), at_)
+    order = Window.partitionBy(at_).orderBy(ghost, F.col(key).desc_nulls_last(), digest)
+    return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).where(~F.col(ghost)) \
+        .drop(at_, ghost)
+
+
+def spread(spark, parts: int) -> list[int]:
+    """``parts`` numbers whose hashes fall into different ones of as many partitions."""
+    tries = spark.range(40 * parts + 100).select(F.col("id").cast("int").alias("n"))
+    found = tries.groupBy(F.pmod(F.hash("n"), F.lit(max(parts, 1))).alias("p")).agg(F.min("n").alias("n")).orderBy("p").collect()
+    return [r["n"] for r in found]
 
 
 def edited(docs: DataFrame) -> DataFrame:

@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import LONE_SPACE, file_bytes, safe_blocks, scratch, table, written
+from quire.llm.common import LONE_SPACE, file_bytes, safe_blocks, scratch, table, unused, written
+from quire.operators.joins import hot_keys, lookup_join
 
 CACHE_SCHEMA = "tokenizer string, content string, n_tokens long"
 MAX_TOKENS = 2048
+HOT_ROWS = 1_000      # rows of one content from which its join is split off, at least
 BATCH_CHARS = 1 << 18   # characters handled at once
 KNOWN = 1_000_000       # stretches whose counts a worker keeps at most
 
@@ -149,16 +151,17 @@ def content_counts(df: DataFrame, path: str, cache_dir: str, text: str = "text",
     digest = F.sha2(body.cast("binary"), 256)
     contents = written(df.select(F.col(key).alias("key"), digest.alias("content"),
                                  F.octet_length(body).cast("long").alias("n_bytes")), "digests")
-    missing = (contents.join(read_cache(spark, cache_dir, version), "content", "left_anti")
-               .groupBy("content").agg(F.min("key").alias("key")))
+    # One row a content before anything is joined: a content that many rows share is a count, not a hot key.
+    missing = (contents.groupBy("content").agg(F.min("key").alias("key"))
+               .join(read_cache(spark, cache_dir, version), "content", "left_anti"))
     missing = written(missing, "missing")
     texts = df.select(F.col(key).alias("key"), digest.alias("content"), body.alias("text"))
     chosen = missing.withColumnsRenamed({"key": "k", "content": "c"})
     found = texts.join(chosen, texts.key.eqNullSafe(F.col("k")) & (texts.content == F.col("c")), "left_semi")
     new = encode_texts(found, path).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     new.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_dir)
-    counts = read_cache(spark, cache_dir, version).withColumnsRenamed({"content": "c", "n_tokens": out})
-    return contents.join(counts, F.col("content") == F.col("c"), "left").drop("c")
+    counts = read_cache(spark, cache_dir, version).withColumnRenamed("n_tokens", out)
+    return lookup_join(contents, counts, "content", "left", min_rows=HOT_ROWS).select(*contents.columns, out)
 
 
 def count_tokens(df: DataFrame, path: str, cache_dir: str, text: str = "text", key: str = "doc_id",
@@ -166,8 +169,12 @@ def count_tokens(df: DataFrame, path: str, cache_dir: str, text: str = "text", k
     """The input with the token count of every whole text added."""
     if out.lower() in (c.lower() for c in df.columns):
         raise ValueError(f"the input already has a column {out}")
-    counts = content_counts(df, path, cache_dir, text, key, out).select(F.col("content").alias("__c"), out).distinct()
-    return df.join(counts, F.sha2(normalised(F.col(text)).cast("binary"), 256) == F.col("__c"), "left").drop("__c")
+    own = unused(df, "content")
+    counts = written(content_counts(df, path, cache_dir, text, key, out), "counts").withColumnRenamed("content", own)
+    rows = df.withColumn(own, F.sha2(normalised(F.col(text)).cast("binary"), 256))
+    # The hot contents are found on digests, not on the texts.
+    hot = hot_keys(counts.select(own), own, min_rows=HOT_ROWS)
+    return lookup_join(rows, counts.select(own, out).distinct(), own, "left", hot=hot).select(*df.columns, out)
 
 
 def limits(docs: DataFrame, path: str, cache_dir: str) -> DataFrame:

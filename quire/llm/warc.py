@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import scratch, table, written
+from quire.operators.joins import lookup_join
 
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROLL_BYTES = 64 << 20       # compressed bytes after which a file is closed
 SHARD_BYTES = 32 << 20      # payload bytes in a range, about
 LEAST_SHARDS, MOST_SHARDS = 48, 100_000
+HOT_ROWS = 1_000            # rows of one payload from which its join is split off, at least
 SAMPLE = 20_000             # keys sampled for the splitters, about
 MANIFEST = "shard int, part int, temporary string, name string, records long, size long, sha256 string"
 RECORD = ("key long, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -62,12 +64,13 @@ def _header(value: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def record(key: str, url: str | None, payload: bytes, digest: str, refers_to: str | None, copy: int) -> bytes:
+def record(key: str, url: str | None, payload: bytes, digest: str, refers_to: str | None, copy: int,
+           date: str = DATE) -> bytes:
     """The bytes of one record, not yet compressed."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: {record_id(key, digest, copy)}", f"WARC-Date: {DATE}",
+             f"WARC-Record-ID: {record_id(key, digest, copy)}", f"WARC-Date: {date}",
              f"WARC-Target-URI: {_header(url) if url else f'urn:key:{key}'}",
              "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}",
              f"WARC-Block-Digest: sha1:{base32_sha1(block)}", f"X-Key: {key}"]
@@ -134,8 +137,9 @@ def _splitters(rows: DataFrame) -> np.ndarray:
 
 
 def write_warc(df: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html",
-               revisit_from: int = 0, roll: int = ROLL_BYTES) -> DataFrame:
-    """Write one record per row under ``folder`` and return the manifest.
+               revisit_from: int = 0, roll: int = ROLL_BYTES, date: str = DATE) -> DataFrame:
+    """Write one record per row under ``folder`` and return the manifest; ``date`` is that of all records (a
+    fixed one unless given, so that the same rows make the same files).
 
     Payloads are shuffled once: each revisit's target travels as a narrow row of its own that
     sorts just before its record."""
@@ -147,7 +151,7 @@ def write_warc(df: DataFrame, folder: str, key: str = "page_id", url: str = "url
     groups = narrow.where(F.col("payload_bytes") >= revisit_from).groupBy("digest") \
         .agg(F.max("key").alias("target"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     # The target itself gets such a row too: repeated rows of it are revisits of the first.
-    targets = narrow.join(groups, "digest").select("key", F.lit(None).cast("string").alias("url"),
+    targets = lookup_join(narrow, groups, "digest", min_rows=HOT_ROWS).select("key", F.lit(None).cast("string").alias("url"),
                                                    F.lit(None).cast("binary").alias("payload"), "digest",
                                                    "target", F.lit(0).alias("kind")).distinct()
     splitters = _splitters(narrow)
@@ -175,7 +179,7 @@ def write_warc(df: DataFrame, folder: str, key: str = "page_id", url: str = "url
                 refers = None
                 if grouped and (target != key_ or copies):
                     refers = "" if target is None else str(target)
-                files.add(shard, record(name, batch["url"][k].as_py(), body, base32_sha1(body), refers, copies))
+                files.add(shard, record(name, batch["url"][k].as_py(), body, base32_sha1(body), refers, copies, date))
                 copies += 1
         yield files.rows()
 
@@ -210,13 +214,16 @@ def _fields(head: bytes) -> dict[str, str]:
     return {p[0].lower(): p[1] for p in pairs if len(p) == 2}
 
 
-def members(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """The gzip members of a stream, one record each."""
+def members(stream, chunk: int = 1 << 20, step: int = 1 << 14) -> Iterator[bytes]:
+    """The gzip members of a stream, one record each.  What follows a member is copied by the library; it gets
+    ``step`` bytes at a time, so that small records do not copy a chunk each."""
     unpack, parts = zlib.decompressobj(31), []
     while data := stream.read(chunk):
-        while data:
-            parts.append(unpack.decompress(data))
-            data = unpack.unused_data
+        at = 0
+        while at < len(data):
+            piece = data[at:at + step]
+            parts.append(unpack.decompress(piece))
+            at += len(piece) - len(unpack.unused_data)
             if unpack.eof:
                 yield b"".join(parts)
                 unpack, parts = zlib.decompressobj(31), []

@@ -119,6 +119,41 @@ def test_gray_index_finds_every_near_pair():
     assert found == sum(int((np.bitwise_count(v ^ z) <= 4).sum()) for v in y)
 
 
+def test_blocks_meet_through_the_tree_over_them(spark, monkeypatch):
+    """Many small blocks under a tree of several levels link what a single look at all pairs links."""
+    import numpy as np
+
+    monkeypatch.setattr(simhash, "SMALL_BLOCK", 16)
+    monkeypatch.setattr(simhash, "NODES", 3)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2 ** 63, 60, dtype=np.uint64)
+    x = np.unique(np.concatenate([base, *[base ^ (np.uint64(1) << rng.integers(0, 64, 60).astype(np.uint64)) for _ in range(5)]]))
+    u, v = simhash.forest(x, None, 4)
+    want = {}
+    for a, b in zip(u.tolist(), v.tolist()):
+        want.setdefault(a, set()).add(b)
+        want.setdefault(b, set()).add(a)
+
+    def groups(pairs):
+        label = {int(k): int(k) for k in x.view(np.int64)}
+        for a, b in pairs:
+            old, new = max(label[a], label[b]), min(label[a], label[b])
+            label = {k: new if g == old else g for k, g in label.items()}
+        return label
+
+    df = spark.createDataFrame([(int(k),) for k in x.view(np.int64)], "fp long")
+    got = [(r.u, r.v) for r in simhash.links(df).collect()]
+    assert groups(got) == groups([(int(a), int(b)) for a, b in zip(u.view(np.int64), v.view(np.int64))])
+    # Every pair of blocks that holds a near pair is found, and some are ruled out.
+    order = np.argsort(x)
+    placed = spark.createDataFrame([(int(f), k // 16) for k, f in enumerate(x.view(np.int64)[order])], "fp long, block int")
+    kept = {(r.x, r.y) for r in simhash.near_blocks(placed, len(x) // 16 + 1, 4).collect()}
+    sort = x[order]
+    need = {(a // 16, b // 16) for a in range(len(sort)) for b in range(a, len(sort)) if int(sort[a] ^ sort[b]).bit_count() <= 4}
+    n = len(sort) // 16 + 1
+    assert need <= kept and len(kept) < n * (n + 1) // 2
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -149,7 +184,38 @@ def test_sketches_against_exact_sets(docs, spark):
     parts = spark.createDataFrame([("a", "x y z u v w"), ("a", "u v w p q r"), ("b", "")], "g string, text string")
     parts = sketch.with_sketch(parts, F.col("text"), "s")
     merged = {r.g: r.s for r in sketch.merge_parts(parts, "g", "s").collect()}
-    assert merged["a"] == sorted({h for r in parts.where("g = 'a'").collect() for h in r.s}) and "b" not in merged
+    assert merged["a"] == sorted({h for r in parts.where("g = 'a'").collect() for h in r.s}) and merged["b"] == []
+
+
+def test_sketch_estimators(spark):
+    """Exact below k shingles; near the truth above."""
+    def say(a, b):
+        return " ".join(f"w{k}" for k in range(a, b))
+    # (first, second): nothing, equal, disjoint, one within the other, half; small and large
+    pairs = [("", ""), ("", say(0, 9)), (say(0, 40), say(0, 40)), (say(0, 40), say(100, 140)), (say(0, 30), say(0, 90)), (say(0, 60), say(30, 90)),
+             (say(0, 4000), say(0, 4000)), (say(0, 4000), say(2000, 6000)), (say(0, 1500), say(0, 6000))]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    df = sketch.with_sketch(sketch.with_sketch(df, F.col("a"), "sa"), F.col("b"), "sb")
+    got = df.select("sa", "sb", sketch.resemblance(F.col("sa"), F.col("sb")).alias("r"), sketch.containment(F.col("sa"), F.col("sb")).alias("c"),
+                    sketch.distinct_shingles(F.col("sa")).alias("n"), sketch.merged(F.col("sa"), F.col("sb")).alias("m")).orderBy("k").collect()
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+    for (a, b), r in zip(pairs, got):
+        x, y = shingles(a), shingles(b)
+        small = len(x | y) < sketch.K
+        near = 1e-9 if small else 0.15
+        assert abs(r.r - (len(x & y) / len(x | y) if x | y else 1.0)) <= near
+        assert abs(r.c - (len(x & y) / len(x) if x else 1.0)) <= (near if small else 0.3)
+        assert abs(r.n - len(x)) <= (1e-9 if len(x) < sketch.K else 0.3 * len(x))
+        assert r.sa == sorted(r.sa) and len(r.sa) == min(len(x), sketch.K) and len(set(r.sa)) == len(r.sa)
+        assert r.m == sorted(set(r.sa) | set(r.sb))[:sketch.K]
+    hashes = [spark.sql(f"SELECT xxhash64(array({', '.join(f'xxhash64(cast({w!r} as string))' for w in s)})) AS h").first().h
+              for s in sorted(shingles(say(0, 9)))]
+    own = sketch.with_sketch(spark.createDataFrame([(say(0, 9),)], "t string"), F.col("t"), "s").first().s
+    assert own == sorted(hashes)
 
 
 def words(text):
