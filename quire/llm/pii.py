@@ -119,7 +119,10 @@ PATTERNS = {
     "phone": PHONE,
     "name": NAME,
 }
-ANY = "|".join(PATTERNS.values())
+_NUMBERS = ("ip", "ssn", "card", "phone")
+#: All kinds at once.  Most places of a text are inside a word, where no kind starts but those of numbers.
+ANY = (r"(?<![\p{L}\p{N}])(?:" + "|".join(p for k, p in PATTERNS.items() if k not in _NUMBERS) + ")"
+       r"|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _NUMBERS) + ")")
 
 
 def kind_of(mention: Column) -> Column:
