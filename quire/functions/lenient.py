@@ -49,16 +49,24 @@ def wrap_record(json_text) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), _col(json_text), F.lit(f',"{_SENTINEL}"]')))
 
 
-def record_of(wrapped) -> Column:
+def starts_object(json_text) -> Column:
+    """Whether a JSON text begins as an object does; with ``record_of`` this spares a look at the type of the whole
+    record, whose schema Spark would have to spell out."""
+    return F.ltrim(_col(json_text), F.lit(" \t\n\r")).startswith("{")
+
+
+def record_of(wrapped, object_known: bool = False) -> Column:
     """The record object from a wrapped parse, or NULL when the text was not exactly
-    one JSON object (trailing text, several values, a scalar or an array)."""
+    one JSON object (trailing text, several values, a scalar or an array).  ``object_known``: the text
+    passed ``starts_object`` before it was wrapped."""
     wrapped = _col(wrapped)
     first = F.try_variant_get(wrapped, "$[0]", "variant")
     ok = (
         (F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_SENTINEL))
         & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
-        & F.schema_of_variant(first).startswith("OBJECT")
     )
+    if not object_known:
+        ok = ok & F.schema_of_variant(first).startswith("OBJECT")
     return F.when(F.coalesce(ok, F.lit(False)), first)
 
 

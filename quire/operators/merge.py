@@ -133,7 +133,7 @@ def refresh(live: DataFrame, staged: DataFrame, columns: list[str], run_ts, key:
 
 def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_ts, table: str,
                    key: str = KEY, admit: DataFrame | None = None, fk: ForeignKey | None = None,
-                   scratch: str | None = None, deduplicated: bool = False) -> DataFrame:
+                   scratch: str | None = None, deduplicated: bool = False, whole: DataFrame | None = None) -> DataFrame:
     """M4: insert new rows with fresh ids and deduplicated slugs.
 
     G1 -> B1 (+ admission) -> W1 over *all* new rows, offset by the suffixes already
@@ -141,19 +141,23 @@ def slugged_insert(staged: DataFrame, live: DataFrame, columns: list[str], run_t
     number) -> C9 slug -> M6 ids after the live maximum; created_at = updated_at =
     run_ts; counters start at 0.  The new rows are written once; only the narrow
     ``(key, base_slug[, fk])`` columns go through numbering and id assignment, and
-    the wide rows are joined back once on the unique key.
+    the wide rows are joined back once on the unique key.  ``live`` may be the part of the live table that
+    can hold the staged keys; ``whole`` is then all of it, of which slugs and ids are read.
     """
+    whole = live if whole is None else whole
     spark = staged.sparkSession
     scratch = scratch or scratch_dir(spark, f"insert-{table}")
     # Dedup before the anti/semi joins (same result): repeated keys collapse map-side.
     deduped = staged if deduplicated else latest_per_key(staged, key)
     new = materialize(new_rows(deduped, live, key, admit), f"{scratch}/new")
     narrow_cols = [key, "base_slug"] + ([fk.child_col] if fk is not None else [])
-    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(live, bases=new.select("base_slug")),
+    slugged = assign_slugs(new.select(*narrow_cols), key, "base_slug", taken_suffixes(whole, bases=new.select("base_slug")),
                            path=f"{scratch}/numbered")
     if fk is not None:
         slugged = fk.resolve(slugged, hot_from=new.select(fk.child_col))
-    ids = assign_ids(slugged, key, max_id(live))
+    # Written once: numbering ids reads them twice.
+    slugged = materialize(slugged, f"{scratch}/slugged")
+    ids = assign_ids(slugged, key, max_id(whole))
     extra = [fk.out_col] if fk is not None else []
     rows = new.join(ids.select(key, "slug", "id", *extra), key)
     ts = run_timestamp(run_ts)
@@ -186,9 +190,10 @@ def authorship_links(refs: DataFrame, works: DataFrame, authors: DataFrame,
 
 
 def upsert_authorships(live: DataFrame, links: DataFrame, run_ts,
-                       observation: Observation | None = None) -> DataFrame:
+                       observation: Observation | None = None, whole: DataFrame | None = None) -> DataFrame:
     """M5: insert new ``(work_id, author_id)`` links; for existing ones set position and
-    updated_at, keeping id and created_at; links missing from the dump are kept."""
+    updated_at, keeping id and created_at; links missing from the dump are kept.  ``live`` may be the part of the
+    table that can hold the links, ``whole`` is then all of it."""
     keys = ["work_id", "author_id"]
     ts = run_timestamp(run_ts)
     hits = links.select(*keys, F.col("position").alias("_p"), F.lit(True).alias("_hit"))
@@ -201,7 +206,7 @@ def upsert_authorships(live: DataFrame, links: DataFrame, run_ts,
         else F.when(hit, F.col("_p")).otherwise(F.col(c)).alias(c) if c == "position"
         else F.col(c) for c in live.columns])
     fresh = links.join(live.select(*keys), keys, "left_anti")
-    fresh = assign_ids(fresh, keys, max_id(live)).select(
+    fresh = assign_ids(fresh, keys, max_id(live if whole is None else whole)).select(
         ts.alias("created_at"), ts.alias("updated_at"), "id", "author_id", "work_id", "position")
     return updated.unionByName(fresh)
 
@@ -211,9 +216,17 @@ def child_counts(child: DataFrame, fk: str) -> DataFrame:
     return child.groupBy(fk).agg(F.count(F.lit(1)).cast("int").alias("_n"))
 
 
-def recount(parent: DataFrame, child: DataFrame, fk: str, counter: str, parent_id: str = "id") -> DataFrame:
-    """M9/M10 (G5 + B9): counter = number of children; childless -> 0; updated_at kept."""
-    counts = child_counts(child, fk).withColumnRenamed(fk, parent_id)
+def recount(parent: DataFrame, child: DataFrame | None, fk: str, counter: str, parent_id: str = "id",
+            counts: DataFrame | None = None) -> DataFrame:
+    """M9/M10 (G5 + B9): counter = number of children; childless -> 0; updated_at kept.  ``counts`` are
+    children counted already (``child_counts``)."""
+    counts = (child_counts(child, fk) if counts is None else counts).withColumnRenamed(fk, parent_id)
     joined = parent.join(counts, parent_id, "left")
     return joined.select(*[F.coalesce(F.col("_n"), F.lit(0)).alias(c) if c == counter else F.col(c)
                            for c in parent.columns])
+
+
+def wrong_counts(parent: DataFrame, counts: DataFrame, fk: str, counter: str, parent_id: str = "id") -> DataFrame:
+    """The parents whose counter is not the number of their children."""
+    joined = parent.join(counts.withColumnRenamed(fk, parent_id), parent_id, "left")
+    return joined.where(~F.coalesce(F.col("_n"), F.lit(0)).eqNullSafe(F.col(counter))).drop("_n")

@@ -44,6 +44,10 @@ EDITIONS = _schema(
 )
 LIVE = {"authors": AUTHORS, "works": WORKS, "authorships": AUTHORSHIPS, "editions": EDITIONS}
 
+# What the tables are kept in buckets by: the natural key, or the id of rows without one.
+BUCKET_KEYS = {"authors": ["open_library_id", "id"], "works": ["open_library_id", "id"],
+               "editions": ["open_library_id", "id"], "authorships": ["work_id"]}
+
 # Columns a refresh overwrites (NULLs overwrite too); id, slug, created_at and the
 # counters are never touched by a refresh.
 REFRESH_COLUMNS = {
