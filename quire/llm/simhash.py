@@ -32,7 +32,7 @@ MAX_BITS = 4         # largest number of differing bits that links
 WORDS = 4            # words in a shingle
 #: Fingerprints in a block, about: small blocks while there are few, up to the most that a task should hold two of.
 SMALL_BLOCK, LARGE_BLOCK = 16_384, 1 << 20
-LEAST_BLOCKS, FEW_BLOCKS = 8, 1024
+LEAST_BLOCKS, FEW_BLOCKS = 8, 64
 NODES = 32           # blocks, or nodes, under a node of the index over blocks
 HOT_ROWS = 100_000   # rows of one fingerprint or class from which its join is split off
 SAMPLE_PER_BLOCK = 64
