@@ -3,9 +3,9 @@
 From a bounded sample of labelled rows, words and word beginnings that stand out in toxic
 texts become lexicons.  Many voters look at a text: one per lexicon part, some for how many
 entries it has and how dense they are, some for patterns, and some that vote clean when
-nothing is found.  A generative label model estimates by EM how accurate each voter is and,
-from the votes' covariance within a class, how strongly voters depend on each other;
-dependent voters are weighed down.  Its posteriors, not the labels, train a linear
+nothing is found.  A generative label model estimates by EM how accurate each voter is, given the
+vote of the voter that it depends on most: a tree over the strongest correlations within a
+class, so that the posteriors account for them.  Its posteriors, not the labels, train a linear
 classifier (logistic regression) whose score is a function of the text alone.
 
 Defined cases: null and empty texts are scored as texts without any word; rows without a
@@ -34,6 +34,8 @@ BEGINNINGS = range(4, 9)
 LEXICONS = 12         # parts that the entries are dealt into, each a voter
 ROUNDS = 30           # EM rounds, and Newton steps of the classifier
 LEAST_VARIANCE = 0.02
+TREES = 3             # times that the tree of dependent voters is drawn
+LEAST_CORRELATION = 0.1   # within a class, of voters that are modelled as dependent
 THRESHOLD = 0.7
 KNOWN = 100_000       # words whose entries a worker keeps at most
 COUNTED = 100_000     # entries that a worker counts before it hands them on, about
@@ -85,14 +87,17 @@ def votes(entries: set[int], numbers: np.ndarray) -> list[int]:
             1 if kinds >= 2 else 0, 1 if kinds >= 4 else 0, 1 if hits >= 3 else 0,
             1 if dense > 0.02 else -1 if dense < 0.002 else 0,
             -1 if not hits else 0, -1 if kinds <= 1 and words >= 20 else 0,
-            -1 if not any(k % 2 for k in parts) else 0, -1 if all(k % 2 for k in parts) else 0,
             1 if shouts >= 3 and hits else 0, 1 if capitals > 0.3 and hits else 0,
             -1 if words < 3 and not hits else 0]
 
 
 class LabelModel:
     """Voter accuracies and dependences, estimated by EM; ``seen`` holds known labels
-    (0, 1) or -1 and takes part as one more, imperfect voter."""
+    (0, 1) or -1 and takes part as one more, imperfect voter.
+
+    Within a class the voters form a tree: the strongest correlations are its edges, where they
+    are over ``LEAST_CORRELATION``, and a voter's votes depend on the class and on its parent's vote.  So a
+    vote that only repeats another's adds little to a posterior."""
 
     def __init__(self, ballots: np.ndarray, seen: np.ndarray):
         ballots = np.column_stack([ballots, np.where(seen < 0, 0, 2 * seen - 1)])
@@ -101,36 +106,59 @@ class LabelModel:
         q = np.where(seen >= 0, np.where(seen == 1, 0.95, 0.05), 1 / (1 + np.exp(-toxic)))
         known = seen[seen >= 0]
         self.prior = float(np.clip(known.mean() if len(known) else q.mean(), 1e-3, 1 - 1e-3))
-        self.weights = np.ones(ballots.shape[1])
-        for _ in range(ROUNDS):
-            self._estimate(q, ballots)
-            q = self.posterior()
+        for _ in range(TREES):     # a tree of the first guesses, then one of better ones
+            self.correlations = self._correlations(q, ballots)
+            self.parents = spanning_tree(self.correlations, LEAST_CORRELATION)
+            for _ in range(ROUNDS):
+                self._estimate(q)
+                q = self.posterior()
         self.q = q
 
-    def _estimate(self, q: np.ndarray, ballots: np.ndarray) -> None:
-        tables, dependence = [], np.zeros((ballots.shape[1],) * 2)
+    @staticmethod
+    def _correlations(q: np.ndarray, ballots: np.ndarray) -> np.ndarray:
+        """Sizes of the voters' correlations within a class, averaged over the classes."""
+        dependence = np.zeros((ballots.shape[1],) * 2)
         for w in (1 - q, q):
-            tables.append((np.einsum("i,ijk->jk", w, self.cast) + 0.5) / (w.sum() + 1.5))
             centred = ballots - (w @ ballots) / max(w.sum(), 1e-9)
             cov = (centred * w[:, None]).T @ centred / max(w.sum(), 1e-9)
             sd = np.sqrt(np.maximum(np.diag(cov), LEAST_VARIANCE))  # voters that hardly vary within a class tell little
             dependence += np.abs(cov / np.outer(sd, sd)) * w.sum() / len(q)
-        self.tables = np.log(np.stack(tables))   # class, voter, outcome
         np.fill_diagonal(dependence, 0)
         dependence[-1] = dependence[:, -1] = 0   # the known labels are no reader of the text
-        self.correlations = dependence
-        self.weights = 1 / (1 + np.where(dependence > 0.1, dependence, 0).sum(1))
+        return dependence
+
+    def _estimate(self, q: np.ndarray) -> None:
+        """log P(vote | class, parent's vote) of every voter: class, parent's outcome, outcome."""
+        self.tables = []
+        for voter, parent in enumerate(self.parents):
+            own = self.cast[:, voter]
+            beside = np.ones((len(own), 1)) if parent is None else self.cast[:, parent]
+            counts = np.stack([np.einsum("i,ip,io->po", w, beside, own) for w in (1 - q, q)]) + 0.5
+            self.tables.append(np.log(counts / counts.sum(2, keepdims=True)))
 
     def posterior(self) -> np.ndarray:
-        odds = np.log(self.prior / (1 - self.prior)) + np.einsum(
-            "ijk,jk,j->i", self.cast, self.tables[1] - self.tables[0], self.weights)
+        odds = np.full(len(self.cast), np.log(self.prior / (1 - self.prior)))
+        for voter, parent in enumerate(self.parents):
+            ratio = self.tables[voter][1] - self.tables[voter][0]
+            own = self.cast[:, voter]
+            odds += own @ ratio[0] if parent is None else np.einsum("ip,po,io->i", self.cast[:, parent], ratio, own)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
-    def accuracies(self) -> np.ndarray:
-        """How often each voter is right when it votes."""
-        right = np.exp(self.tables[1, :, 2]) * self.prior + np.exp(self.tables[0, :, 0]) * (1 - self.prior)
-        cast = right + np.exp(self.tables[1, :, 0]) * self.prior + np.exp(self.tables[0, :, 2]) * (1 - self.prior)
-        return right / cast
+
+def spanning_tree(strength: np.ndarray, least: float) -> list[int | None]:
+    """The parent of every node in a spanning forest of the strongest edges over ``least``."""
+    n = len(strength)
+    parents: list[int | None] = [None] * n
+    inside: set[int] = set()
+    best = {k: (0.0, None) for k in range(n)}
+    while len(inside) < n:
+        node = max((k for k in range(n) if k not in inside), key=lambda k: (best[k][0], -k))
+        inside.add(node)
+        parents[node] = best[node][1]
+        for k in range(n):
+            if k not in inside and strength[node, k] > max(least, best[k][0]):
+                best[k] = (strength[node, k], node)
+    return parents
 
 
 # --- the classifier -----------------------------------------------------------------
