@@ -14,7 +14,7 @@ def replaced(spark, texts, key="k", **more):
 
 def test_mentions_of_any_length_are_replaced_whole(spark):
     texts = ["so " + "Mr " * N + "Berg came", "to joe@a" + ".b" * N + ".com now", "Mr " + "ب" * N + " came", "Mr " * N + "came",
-             "Mr " + "क" * N + " came", "joe@" + "a." * N, "Dr. " * N + "Anna Berg, Berg", "x" * N, "z" * N + "@", "A" * N + " Mr B" + "c" * N]
+             "Mr " + "क" * N + " came", "joe@" + "a." * N, "Dr. " * N + "Anna Berg, Berg", "x" * N, "z" * N + "@", "Z" * N + " Mr B" + "c" * N]
     got = replaced(spark, texts)
     titles = "Mr " * N
     assert re.fullmatch(r"so " + r"\w+ came", got[0].replace(titles, "", 1)) and "Berg" not in got[0]
@@ -24,7 +24,7 @@ def test_mentions_of_any_length_are_replaced_whole(spark):
     assert "कक" not in got[4]
     name = re.fullmatch(r"(\w+) (\w+), (\w+)", got[6].replace("Dr. " * N, "", 1)).groups()
     assert name[1] == name[2] and not {"Anna", "Berg"} & set(name)
-    assert got[9].startswith("A" * N + " Mr ") and "c" * 50 not in got[9]
+    assert got[9].startswith("Z" * N + " Mr ") and "c" * 50 not in got[9]
 
 
 def test_one_phone_in_national_and_international_form(spark):
