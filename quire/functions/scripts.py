@@ -60,9 +60,11 @@ def _indic(first: int, last: int) -> str:
 
 
 _SMALL_Y, _SMALL_VOWELS, _TSU = "ゃゅょャュョ", "ぁぃぅぇぉァィゥェォ", "っッ"
-_BASE = "".join(chr(c + d) for d in (0, 0x60) for c in range(0x3041, 0x3097) if chr(c + d) not in _SMALL_Y + _SMALL_VOWELS + _TSU)
-#: The tokens, longest first.
-TOKEN = (rf"[{_indic(0x15, 0x39)}][{_indic(0x3C, 0x3C)}]?[{_indic(0x3E, 0x4D)}]?"
+#: A class of two ranges without a few letters: one of single letters is tried letter by letter.
+_BASE = rf"{_span(0x3041, 0x3096)}{_span(0x30A1, 0x30F6)}&&[^{_SMALL_Y}{_SMALL_VOWELS}{_TSU}]"
+#: What may be read together with a neighbour, and the tokens, longest first.
+JOINED = f"[{_span(INDIC_FIRST, INDIC_LAST)}{_span(0x3041, 0x30FC)}]"
+TOKEN = (rf"(?!{JOINED})(?s:.)|[{_indic(0x15, 0x39)}][{_indic(0x3C, 0x3C)}]?[{_indic(0x3E, 0x4D)}]?"
          rf"|[{_TSU}]?[{_BASE}][{_SMALL_Y}{_SMALL_VOWELS}]?|(?s:.)")
 #: What makes a text worth cutting.
 LETTERS = "[" + "".join(_span(a, a + len(v) - 1) for a, v in ALPHABETS.items()) + \
@@ -77,12 +79,6 @@ def _of(values: list[str], at: Column) -> Column:
     return F.element_at(_array(values), (at + 1).cast("int"))
 
 
-def _hangul(code: Column) -> Column:
-    at = code - 0xAC00
-    return F.concat(_of(_sounds(HANGUL_INITIALS), F.floor(at / 588)), _of(_sounds(HANGUL_VOWELS), F.floor(at % 588 / 28)),
-                    _of(_sounds(HANGUL_FINALS), at % 28))
-
-
 def _kana_sound(letter: Column) -> Column:
     code = F.ascii(letter)
     return _of(_sounds(KANA), F.when(code >= 0x30A1, code - 0x60).otherwise(code) - 0x3041)
@@ -113,17 +109,47 @@ def _indic_sound(token: Column, code: Column) -> Column:
             .when(offset.between(0x66, 0x6F), (offset - 0x66).cast("string")).otherwise(""))
 
 
+def spelling(code: int) -> str | None:
+    """The rules above for a letter that stands alone; None for one that stays as it is."""
+    if 0xAC00 <= code <= 0xD7A3:
+        at = code - 0xAC00
+        return (_sounds(HANGUL_INITIALS)[at // 588] + _sounds(HANGUL_VOWELS)[at % 588 // 28] + _sounds(HANGUL_FINALS)[at % 28])
+    if 0x3041 <= code <= 0x3096 or 0x30A1 <= code <= 0x30F6:
+        return _sounds(KANA)[code - (0x60 if code >= 0x30A1 else 0) - 0x3041]
+    if code == 0x30FC:
+        return ""
+    if INDIC_FIRST <= code <= INDIC_LAST:
+        offset = code % INDIC_BLOCK
+        if 0x15 <= offset <= 0x39:
+            return _sounds(INDIC_CONSONANTS)[offset - 0x15] + "a"
+        if 0x01 <= offset <= 0x14:
+            return _sounds(INDIC_VOWELS)[offset - 1]
+        return str(offset - 0x66) if 0x66 <= offset <= 0x6F else ""
+    for first, sounds in ALPHABETS.items():
+        if first <= code < first + len(sounds):
+            return sounds[code - first]
+    return None
+
+
+#: Letters that stand alone are looked up by code point.
+_ALONE = ((0x0561, 0x30FC), (0xAC00, 0xD7A3))
+
+
+def _alone(token: Column) -> Column:
+    def found(first: int, last: int) -> Column:
+        # One literal, which the optimizer splits once; no entry holds a comma.
+        entries = ",".join(chr(c) if (x := spelling(c)) is None else x for c in range(first, last + 1))
+        return F.get(F.split(F.lit(entries), ","), F.ascii(token) - first)
+    return F.coalesce(*[found(*span) for span in _ALONE], token)
+
+
 def romanise(text: Column) -> Column:
     """ASCII spellings for the letters of the scripts above; everything else stays."""
     def spelled(token: Column) -> Column:
         code = F.ascii(token)
-        out = (F.when(code.between(0xAC00, 0xD7A3), _hangul(code))
-               .when(code.between(0x3041, 0x3096) | code.between(0x30A1, 0x30F6), _kana(token))
-               .when(code == 0x30FC, "")
-               .when(code.between(INDIC_FIRST, INDIC_LAST), _indic_sound(token, code)))
-        for first, sounds in ALPHABETS.items():
-            out = out.when(code.between(first, first + len(sounds) - 1), _of(sounds, code - first))
-        return out.otherwise(token)
+        kana = code.between(0x3041, 0x3096) | code.between(0x30A1, 0x30F6)
+        return F.when(F.length(token) == 1, _alone(token)).when(kana, _kana(token)).otherwise(_indic_sound(token, code))
 
     cut = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    return F.when(text.rlike(LETTERS), F.array_join(F.transform(cut, spelled), "")).otherwise(text)
+    return (F.when(text.rlike(JOINED), F.array_join(F.transform(cut, spelled), ""))
+            .when(text.rlike(LETTERS), F.array_join(F.transform(F.split(text, ""), _alone), "")).otherwise(text))

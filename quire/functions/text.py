@@ -18,6 +18,7 @@ SUFFIX_SEPARATOR = "--"   # `base--N`; natural slugs never contain it
 
 _FROM = "".join(ONE_TO_ONE)
 _TO = "".join(ONE_TO_ONE.values())
+_NOT_ASCII = r"[^\x00-\x7F]"
 
 
 def _col(c) -> Column:
@@ -27,12 +28,19 @@ def _col(c) -> Column:
 def transliterate(c) -> Column:
     """ASCII romanisation of lowercase text; pure-ASCII strings skip the work."""
     c = _col(c)
-    out = romanise(c)      # before marks are dropped: vowel signs are marks
-    for src, dst in ONE_TO_MANY.items():
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    out = F.translate(out, _FROM, _TO)
-    out = F.regexp_replace(out, r"\p{M}+", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), out).otherwise(c)
+
+    def listed(out: Column) -> Column:
+        if_ascii = out
+        for src, dst in ONE_TO_MANY.items():
+            out = F.replace(out, F.lit(src), F.lit(dst))
+        out = F.translate(out, _FROM, _TO)
+        out = F.regexp_replace(out, r"\p{M}+", "")
+        return F.when(if_ascii.rlike(_NOT_ASCII), out).otherwise(if_ascii)
+
+    # Romanised before marks are dropped: vowel signs are marks.  An array of one, so that it is done once; what
+    # is ASCII by then needs none of the many passes over the text.
+    out = F.get(F.transform(F.array(romanise(c)), listed), 0)
+    return F.when(c.rlike(_NOT_ASCII), out).otherwise(c)
 
 
 def slugify(c, max_chars: int = SLUG_MAX_CHARS) -> Column:

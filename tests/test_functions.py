@@ -204,3 +204,14 @@ def test_every_letter_of_the_scripts_is_spelled_in_ascii(spark):
     assert all(g.isascii() for g in got)
     plain = ["plain text", "", "naïve", "Привет", "日本 12"]
     assert one_col(spark, plain, S.romanise) == plain
+
+
+def test_letters_that_stand_alone_are_looked_up_not_spelled_one_by_one(spark):
+    from quire.functions import scripts
+
+    text = "가나 かな कि ქა éx ж 漢"
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(T.slugify("t")).first()[0] == "gana-kana-ki-ka-ex-zh"
+    plan = df.select(scripts.romanise(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "/ 588" not in plan, "no syllable is taken apart while rows are read"
+    assert "あ" not in scripts.TOKEN, "kana are a range, not letter by letter"
