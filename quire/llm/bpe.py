@@ -45,6 +45,7 @@ class Recent(dict):
             value = self.make(key)
         if len(key) <= CACHED_BYTES:
             if len(self) >= self.most:
+                self.older.clear()      # before the copy, which would else be a third generation
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -128,11 +129,18 @@ class Vocabulary:
 
     def _last(self, prefix: bytes) -> bytes:
         """The token that ends the encoding of a short prefix; ``prefixes`` stores it."""
-        end = len(prefix)
-        for token in self.candidates(prefix, end):
-            before = end - len(token)
-            if self.fits(self.prefixes[prefix[:before]] if before else b"", token):
-                return token
+        suffixes, prefixes, pairs = self.suffixes, self.prefixes, self.pairs
+        start = end = len(prefix)
+        while start and prefix[start - 1:] in suffixes:     # the longest suffix of a token that ends here
+            start -= 1
+        while start < end:
+            token = prefix[start:]
+            if suffixes[token]:
+                left = prefixes[prefix[:start]] if start else b""
+                verdict = pairs.get((left, token))
+                if self.fits(left, token) if verdict is None else verdict:
+                    return token
+            start += 1
         raise ValueError("the vocabulary cannot encode a byte")
 
     def last_tokens(self, data: bytes, last: list[bytes] | None = None) -> list[bytes]:
@@ -150,14 +158,15 @@ class Vocabulary:
 
     def _piece(self, piece: str) -> bytes:
         """Packed ids of one match of the pattern, read off backwards from the last tokens."""
-        data = piece.encode("utf-8", "surrogatepass")
-        if data in self.ranks:
-            return self.packed[data]
+        data, packed = piece.encode("utf-8", "surrogatepass"), self.packed
+        whole = packed.get(data)
+        if whole is not None:
+            return whole
         found, end = [], len(data)
-        last = self.last_tokens(data) if end > CACHED_BYTES else None
+        last, prefixes = self.last_tokens(data) if end > CACHED_BYTES else None, self.prefixes
         while end:
-            token = last[end] if last else self.prefixes[data[:end]]
-            found.append(self.packed[token])
+            token = last[end] if last else prefixes[data[:end]]
+            found.append(packed[token])
             end -= len(token)
         found.reverse()
         return b"".join(found)
@@ -261,10 +270,30 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", data:
     return df.withColumn(data, bytes_of(F.col(ids)))
 
 
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids",
+               data: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one worker a task: two would each hold the vocabulary."""
+    _fresh(df, ids)
+    _fresh(df, data)
+    shared = df.sparkSession.sparkContext.broadcast(file_bytes(ranks_path))
+
+    @F.arrow_udf(f"struct<{ids}: array<int>, {data}: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocab = vocabulary(shared.value, pattern)
+        for batch in batches:
+            found = [vocab.encode(value.as_py() or "") for value in batch]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *found])))
+            decoded = pa.array([vocab.decode(x.tolist()) for x in found], pa.binary())
+            yield pa.StructArray.from_arrays([lists, decoded], [ids, data])
+
+    # ``inline`` takes the struct apart after it was made once.
+    return df.select(*[F.col(c) for c in df.columns], F.inline(F.array(both(F.col(text)))))
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, digest of the ids, digest of the decoded bytes."""
-    rows = encode(docs.select("doc_id", "text"), ranks_path, pattern).drop("text")
-    rows = decode(rows, ranks_path, pattern)
+    rows = round_trip(docs.select("doc_id", "text"), ranks_path, pattern).drop("text")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -34,6 +34,11 @@ def texts():
     return [r[1] or "" for r in rows()]
 
 
+def test_byte_bpe_has_one_worker_a_task(docs):
+    plan = bpe.digests(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_byte_bpe_equals_the_library(docs):
     import tiktoken
 
