@@ -215,3 +215,10 @@ def test_letters_that_stand_alone_are_looked_up_not_spelled_one_by_one(spark):
     plan = df.select(scripts.romanise(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" in plan and "/ 588" not in plan, "no syllable is taken apart while rows are read"
     assert "あ" not in scripts.TOKEN, "kana are a range, not letter by letter"
+
+
+def test_year_is_read_without_a_lambda(spark):
+    values = ["1999", "19999", "x2101y2100z", "0999 1000", "12 345", None, "", "May 2024, 1990", "a1850b1851", "٢٠٢٤ 2023"]
+    assert one_col(spark, values, T.extract_year) == [1999, None, 2100, 1000, None, None, None, 2024, 1850, 2023]
+    df = spark.createDataFrame([("1999",)], "v string").select(T.extract_year("v"))
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
