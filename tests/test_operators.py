@@ -144,3 +144,32 @@ def test_lookup_join_splits_hot_keys(spark):
         got = sorted(tuple(r) for r in lookup_join(many, lookup, "w", how, min_rows=10).collect())
         want = sorted(tuple(r) for r in many.join(lookup, "w", how).collect())
         assert got == want, how
+
+
+def test_rank_shuffles_ordinary_groups_once_and_spreads_hot_ones(spark):
+    rnd = random.Random(3)
+    rows = [(f"k{i:05d}", None if i % 100 == 0 else "hot" if rnd.random() < 0.4 else f"g{rnd.randrange(50)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, g string")
+    start = spark.createDataFrame([("hot", 7), ("g1", 2), ("other", 9)], "g string, taken long")
+    expect, at = {}, {"hot": 7, "g1": 2}
+    for k, g in sorted(rows):
+        if g is not None:
+            expect[k] = at[g] = at.get(g, 0) + 1
+    for min_rows in (10, 10_000):        # the hot group by ranges, or all by one window
+        ranked = R.rank_within_groups(df, "g", "k", start=start, num_partitions=16, min_rows=min_rows)
+        assert {r["k"]: r["rn"] for r in ranked.collect()} == expect
+    plain = R.rank_within_groups(df, "g", "k")
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_hot_keys_moves_a_bounded_number_of_counts(spark):
+    from quire.operators import joins
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("w"))
+    seen, group = [], type(rows).groupBy
+    try:
+        type(rows).groupBy = lambda self, *cols: seen.append(str(cols[0])) or group(self, *cols)
+        assert joins.hot_keys(rows.where("w <> 'hot'"), "w", min_rows=10) == []
+        assert len(seen) == 1 and "xxhash64" in seen[0].lower()      # no count of every key
+    finally:
+        type(rows).groupBy = group
+    assert joins.hot_keys(rows, "w", min_rows=10) == ["hot"]
