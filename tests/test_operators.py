@@ -173,3 +173,15 @@ def test_hot_keys_moves_a_bounded_number_of_counts(spark):
     finally:
         type(rows).groupBy = group
     assert joins.hot_keys(rows, "w", min_rows=10) == ["hot"]
+
+
+def test_refresh_with_a_foreign_key_keeps_the_latest_rows_once(spark):
+    works = spark.createDataFrame([(5, "OL1W")], "id long, open_library_id string")
+    live = spark.createDataFrame([(T0, T0, 1, "OL1M", 4) + (None,) * 16 + ("e",), (T0, T0, 2, "OL2M", 4) + (None,) * 16 + ("f",)],
+                                 LIVE["editions"])
+    rows = [("OL1M", 1, "Old", "OL1W"), ("OL1M", 2, "New", "OL1W"), ("OL2M", 1, "Lost", "OL9W")]
+    staged = spark.createDataFrame(rows, "open_library_id string, revision long, title string, work_olid string").select(
+        "*", F.lit("x").alias("last_modified"), F.lit(0).cast("bigint").alias("rec_hash"))
+    out = M.refresh(live, staged, ["title", "work_id"], RUN, fk=M.ForeignKey("work_olid", works, "work_id"))
+    assert "max" not in out._jdf.queryExecution().optimizedPlan().toString()       # not again for every use
+    assert {(r["open_library_id"], r["title"], r["work_id"]) for r in out.collect()} == {("OL1M", "New", 5), ("OL2M", None, 4)}
