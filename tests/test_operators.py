@@ -187,14 +187,12 @@ def test_refresh_with_a_foreign_key_keeps_the_latest_rows_once(spark):
     assert {(r["open_library_id"], r["title"], r["work_id"]) for r in out.collect()} == {("OL1M", "New", 5), ("OL2M", None, 4)}
 
 
-def test_latest_rows_carry_their_order_once(spark):
-    rows = spark.createDataFrame([("a", 1, None, 5, "x"), ("a", 1, "l", 4, "y"), ("b", None, "l", 1, "z"), (None, 2, "l", 1, "n")],
-                                 "open_library_id string, revision long, last_modified string, rec_hash long, name string")
-    out = M.latest_per_key(rows)
-    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert out.columns == ["open_library_id", "revision", "last_modified", "rec_hash", "name"]
-    want = {("a", 1, "l", 4, "y"), ("b", None, "l", 1, "z"), (None, 2, "l", 1, "n")}
-    assert {tuple(r) for r in out.collect()} == want
-    # Columns without an order go beside a copy of it.
-    mapped = rows.withColumn("m", F.create_map(F.lit("k"), F.col("name")))
-    assert {(r["open_library_id"], r["m"]["k"]) for r in M.latest_per_key(mapped).collect()} == {("a", "y"), ("b", "z"), (None, "n")}
+def test_merges_keep_only_what_they_take_from_the_latest_rows(spark):
+    rows = _staged_authors(spark, [("OL1A", "Old", "b", 1), ("OL1A", "New", None, 2), (None, "Nobody", "c", 1)])
+    kept = M.latest_per_key(rows, columns=["name", "absent", "bio"])
+    assert kept.columns == ["open_library_id", "name", "bio"]
+    assert {tuple(r) for r in kept.collect()} == {("OL1A", "New", None), (None, "Nobody", "c")}
+    live = _live_authors(spark, [(1, "OL1A", "Ann", "b", "ann")])
+    plan = M.refresh(live, rows, ["name", "bio"], RUN)._jdf.queryExecution().optimizedPlan().toString()
+    value = plan[plan.index("max_by("):plan.index("struct(revision")]
+    assert "name" in value and not [c for c in ("line_no", "rec_hash", "base_slug") if c in value]
