@@ -196,3 +196,36 @@ def test_merges_keep_only_what_they_take_from_the_latest_rows(spark):
     plan = M.refresh(live, rows, ["name", "bio"], RUN)._jdf.queryExecution().optimizedPlan().toString()
     value = plan[plan.index("max_by("):plan.index("struct(revision")]
     assert "name" in value and not [c for c in ("line_no", "rec_hash", "base_slug") if c in value]
+
+
+def test_editions_read_fields_in_one_walk_and_only_where_a_line_is_kept(spark):
+    from pyspark.sql import Observation
+
+    from quire.functions import lenient as L
+    from quire.operators import stage as S
+    from quire.sources.dumps import split_rows
+
+    records = ['{"works": [{"key": "/works/OL1W"}], "languages": ["/languages/eng"], "title": " a ", "isbn_13": ["", 5.0], "identifiers": {"amazon": ["", "B1"]}}',
+               '{"works": ["/works/OL2W"], "languages": [{"key": "/languages/ger"}], "title": "b"}',
+               '{"works": [{"key": 7}, {"key": {"key": "/works/OL3W"}}], "languages": [{"key": "eng"}], "title": null, "identifiers": 5}',
+               '{"works": {"key": "/works/OL4W"}, "languages": ["/languages/eng"]}',
+               '{"works": ["/works/OL5W"], "title": "x", "title": "y"}',
+               '{"works": ["/works/OL6W", "/"], "languages": ["/languages/ita"], "other": 1, "other": 2, "title": "  "}',
+               '{"title": "c"} tail', None]
+    lines = [(i, f"/type/edition\t/books/OL{i}M\t1\t2024" + ("" if r is None else "\t" + r)) for i, r in enumerate(records)]
+    rows = split_rows(spark.createDataFrame(lines, "line_no long, line string"))
+    with L.tolerant_json(spark):
+        parsed = S.parse_lines(rows, S.known_fields("editions"))
+        every = S.classify_editions(parsed)
+        got = {r.line_no: r for r in every.collect()}
+        counted = Observation()
+        kept = S.classify_editions(parsed, observation=counted, dropped=False)
+        few = {r.line_no: r for r in S.accepted(kept).collect()}
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert [got[i].reason for i in range(8)] == [None, "wrong_language", None, "no_work", "malformed", None, "malformed", "malformed"]
+    assert [got[i].work_olid for i in (0, 1, 2, 5)] == ["OL1W", "OL2W", "OL3W", "OL6W"] and got[1].title == "b"
+    assert [(few[i].title, few[i].isbn13, few[i].asin) for i in sorted(few)] == [("a", "5.0", "B1"), (None,) * 3, (None,) * 3]
+    assert {n: v for n, v in counted.get.items() if v} == {"written": 3, "malformed": 3, "no_work": 1, "wrong_language": 1}
+    assert "$['title']" not in plan and plan.count("parseJson") == 1
+    title, drop = plan.index("title"), plan.index("Filter")
+    assert title < drop and "title:variant" not in plan[drop:], "dropped lines are left out below the readers"
