@@ -299,3 +299,21 @@ def test_records_with_repeated_keys(spark):
         ("OL0W", "A", "y"), ("OL2W", "A", None), ("OL3W", "A", None), ("OL7W", "A", None)]
     assert report.scans["works"] == {"written": 4, "malformed": 7} and report.scans["authors"]["malformed"] == 1
     assert _rows(store, "authors", ["open_library_id", "works_count"]) == [("OL2A", 1)]
+
+
+def test_first_import_writes_the_new_editions_once(spark):
+    import glob
+
+    from quire.operators.schemas import LIVE
+    from quire.plans.importer import Importer
+    from quire.sources.dumps import scan_dump
+
+    d, root, scratch = _dir("dumps"), _dir("store"), _dir("scratch")
+    _catalogue(d)
+    rows = {k: scan_dump(spark, d, k) for k in ("editions", "works", "authors")}
+    written = []
+    for run in (T1, T2):
+        Importer(spark, TableStore(spark, root), rows, run, scratch=f"{scratch}/{run:%Y%m%d%H%M%S%f}").run(keep_staging=True)
+        written.append(bool(glob.glob(f"{scratch}/{run:%Y%m%d%H%M%S%f}/insert_editions/new/*.parquet")))
+    assert written == [False, True]
+    assert TableStore(spark, root, LIVE).read("editions").count() > 0
